@@ -15,6 +15,7 @@ from chronostar.schemas import open_end, timestamp
 # Fate of a row in the next snapshot.
 KEPT, CLOSED, OPENED = "kept", "closed", "opened"
 STATE = "row_state"
+TIE = "_tie"  # the replaced version; tells apart successors of one key that are equal otherwise
 
 
 def denormalise_courses(courses: DataFrame, categories: DataFrame, subcategories: DataFrame) -> DataFrame:
@@ -134,7 +135,10 @@ def merge_rows(source: DataFrame, active: DataFrame, entity: Entity, batch: Batc
         .when(F.col("class") == "changed", F.array(ended, new))
         .otherwise(F.array(old))
     )
-    return classify(source, active, entity).select(F.inline(rows))
+    pairs = classify(source, active, entity)
+    if entity.unique_active:
+        return pairs.select(F.inline(rows))
+    return pairs.select(F.inline(rows), F.col(f"w.{entity.sk}").alias(TIE))
 
 
 def merge_summary(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:

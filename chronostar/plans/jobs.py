@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronostar.operators.keys import resolve_parents
-from chronostar.operators.scd2 import denormalise_courses, initial_rows, merge_rows
+from chronostar.operators.scd2 import TIE, denormalise_courses, initial_rows, merge_rows
 from chronostar.operators.star import (
     DIMENSIONS,
     calendar,
@@ -108,7 +108,7 @@ def incremental_load(
     def merge(table: str) -> None:
         entity = ENTITIES[table]
         rows = merge_rows(source_rows(source, entity, _parents(run, entity)), run.current(table), entity, batch)
-        run.land(table, rows, entity.order)
+        run.land(table, rows, entity.order if entity.unique_active else (*entity.order, TIE))
         if entity is USER_TRAFFIC and extract is not None:
             land_extract(run, extract, Batch(batch_id, batch_ts, CSV_AUDIT))
 

@@ -74,25 +74,30 @@ def clean_extract(df: DataFrame) -> DataFrame:
     return df.withColumn("campaign_code", F.coalesce("campaign_code", F.lit("")))
 
 
-def read_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Referral extract (header row, four columns) with the position of every row.
+def open_extract(reader, path: str) -> DataFrame:
+    """Extract files (header row, four columns) of a batch or stream reader.
 
-    The position is file, block and row within the block, so it is the same
-    however the files are split over tasks. Malformed rows fail the load.
+    Malformed rows fail the load. Each row keeps its file and block.
     """
-    raw = (
-        spark.read.schema(CSV_SCHEMA)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("timestampNTZFormat", "yyyy-MM-dd[ ]['T']HH:mm[:ss][.SSSSSS][.SSS]")
-        .csv(path)
-    )
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"),
+    raw = reader.schema(CSV_SCHEMA).option("header", True).option("mode", "FAILFAST").csv(path)
+    return clean_extract(
+        raw.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start"))
     )
-    return clean_extract(raw.withColumn(SEQ, position))
+
+
+def number_rows(extract: DataFrame) -> DataFrame:
+    """Replace file and block by the position of each row: file, block, row within the block.
+
+    The position is the same however the files are split over tasks.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return extract.withColumn(
+        SEQ, F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), row.alias("row"))
+    ).drop("_file", "_block")
+
+
+def read_extract(spark: SparkSession, path: str) -> DataFrame:
+    return number_rows(open_extract(spark.read, path))
 
 
 def with_sequence(df: DataFrame, *order: str) -> DataFrame:

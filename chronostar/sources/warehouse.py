@@ -26,13 +26,16 @@ _EMPTY = {"version": 0, "runs": [], "tables": {}, "star": {}}
 
 @dataclass
 class Warehouse:
+    """``as_of`` pins the readers to one manifest version; by default they see the latest."""
+
     spark: SparkSession
     root: str
+    as_of: int | None = None
 
     # --- manifest -------------------------------------------------------------
 
     def _versions(self) -> list[int]:
-        """Committed manifest versions, oldest first (a listing of names, no data)."""
+        """Committed manifest versions (a listing of names, no data)."""
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
         fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -43,13 +46,13 @@ class Warehouse:
             path = status.getPath()
             if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
                 done.append(int(path.getName().removeprefix("v")))
-        return sorted(done)
+        return done
 
     def manifest(self) -> dict:
-        versions = self._versions()
-        if not versions:
+        version = self.as_of or max(self._versions(), default=0)
+        if not version:
             return json.loads(json.dumps(_EMPTY))
-        row = self.spark.read.text(f"{self.root}/manifest/v{versions[-1]:08d}").first()
+        row = self.spark.read.text(f"{self.root}/manifest/v{version:08d}").first()
         return json.loads(row.value)
 
     def commit(self, manifest: dict) -> None:
@@ -58,6 +61,12 @@ class Warehouse:
         line = self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1)
         line.write.mode("errorifexists").text(f"{self.root}/manifest/v{manifest['version']:08d}")
 
+    def branch(self, root: str) -> Warehouse:
+        """A warehouse of its own that starts from this one's state and shares its immutable files."""
+        other = Warehouse(self.spark, root)
+        other.commit(self.manifest())
+        return other
+
     def has_run(self, run_id: str) -> bool:
         return run_id in self.manifest()["runs"]
 
