@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronostar.functions.predicates import is_active
@@ -23,8 +22,8 @@ def assign_keys(
     ``start + row_number() OVER (ORDER BY order)`` but no task sees more than its
     own range: rows are range-partitioned by sampled bounds (so a crowded range
     becomes several partitions), sorted locally, and written once with their
-    partition and local position. Only the partition sizes, one row per
-    partition, are then summed up and broadcast. ``order`` must be a total order;
+    partition and local position. Only the partition sizes, one number per
+    partition, pass through the driver to become offsets. ``order`` must be a total order;
     a column that is a tie for many rows has to be followed by one that is not.
 
     The write makes the sampled bounds final: re-reading it cannot renumber rows.
@@ -37,15 +36,16 @@ def assign_keys(
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)),
         label,
     )
-    # One row per non-empty partition: bounded by the partition count.
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    numbered = placed.join(F.broadcast(offsets), "_part").withColumn(
-        sk, (F.lit(start) + F.col("_offset") + F.col("_pos") + 1).cast("long")
-    )
-    total = placed.count()  # answered from the Parquet footers
-    return numbered.select(*df.columns, sk) if sk not in df.columns else numbered.select(*df.columns), start + total
+    # One row per non-empty partition: bounded by the partition count, never by the data.
+    sizes = placed.groupBy("_part").count().collect()
+    offsets, last = [], start
+    for part, rows in sorted(sizes):
+        offsets.append((part, last))
+        last += rows
+    offset = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _offset long"))
+    number = (F.col("_offset") + F.col("_pos") + 1).alias(sk)
+    rest = [c for c in df.columns if c != sk]
+    return placed.join(offset, "_part").select(number, *rest), last
 
 
 def active(history: DataFrame) -> DataFrame:

@@ -40,48 +40,52 @@ def changed(entity: Entity, left: str = "s", right: str = "w") -> Column:
     return reduce(or_, tests)
 
 
-def _version(entity: Entity, side: str, state: str, **values: Column) -> Column:
-    """A stored history row as a struct, taken from one side of the join."""
-    fields = []
-    for f in entity.stored_schema:
-        value = values[f.name] if f.name in values else F.col(f"{side}.{f.name}")
-        fields.append(value.cast(f.dataType).alias(f.name))
-    return F.struct(*fields, F.lit(state).alias(STATE))
+def _version(entity: Entity, side: str, **values: Column) -> dict[str, Column]:
+    """Stored history columns taken from one side of a pair, some of them replaced."""
+    return {
+        f.name: (values[f.name] if f.name in values else F.col(f"{side}.{f.name}")).cast(f.dataType)
+        for f in entity.stored_schema
+    }
 
 
-def opened_version(entity: Entity, batch: Batch, side: str = "s", ended: Column | None = None) -> Column:
-    """A new version of a source row; its surrogate key is still to come.
+def opened_version(entity: Entity, batch: Batch, ended: Column | None = None) -> dict[str, Column]:
+    """A new version of source row ``s``; its surrogate key is still to come.
 
     Where ``ended`` is true the version already ends in the batch that opens it.
     """
-    ended = F.lit(False) if ended is None else ended
-    return _version(
-        entity,
-        side,
-        OPENED,
-        **{
-            entity.sk: F.lit(None),
-            "start_date": timestamp(batch.ts),
-            "end_date": F.when(ended, timestamp(batch.ts)).otherwise(open_end()),
-            entity.audit: F.lit(batch.audit),
-            "insert_id": F.lit(batch.batch_id),
-            "update_id": F.when(ended, F.lit(batch.batch_id)),
-        },
-    )
+    end, update = open_end(), F.lit(None)
+    if ended is not None:
+        end = F.when(ended, timestamp(batch.ts)).otherwise(end)
+        update = F.when(ended, F.lit(batch.batch_id))
+    audit = {
+        entity.sk: F.lit(None),
+        "start_date": timestamp(batch.ts),
+        "end_date": end,
+        entity.audit: F.lit(batch.audit),
+        "insert_id": F.lit(batch.batch_id),
+        "update_id": update,
+    }
+    return _version(entity, "s", **audit)
+
 
+def kept_version(entity: Entity) -> dict[str, Column]:
+    """Open version ``w`` as it is."""
+    return _version(entity, "w")
 
-def closed_version(entity: Entity, batch: Batch, side: str = "w") -> Column:
-    return _version(entity, side, CLOSED, end_date=timestamp(batch.ts), update_id=F.lit(batch.batch_id))
 
+def closed_version(entity: Entity, batch: Batch) -> dict[str, Column]:
+    """Open version ``w`` ending in this batch."""
+    return _version(entity, "w", end_date=timestamp(batch.ts), update_id=F.lit(batch.batch_id))
 
-def kept_version(entity: Entity, side: str = "w") -> Column:
-    return _version(entity, side, KEPT)
+
+def columns(version: dict[str, Column]) -> list[Column]:
+    return [value.alias(name) for name, value in version.items()]
 
 
 def initial_rows(source: DataFrame, entity: Entity, batch: Batch, *keep: str) -> DataFrame:
     """Every source row becomes an open version."""
     rows = source.select(F.struct(*entity.payload).alias("s"), *keep)
-    return rows.select(opened_version(entity, batch).alias("r"), *keep).select("r.*", *keep)
+    return rows.select(*columns(opened_version(entity, batch)), *keep)
 
 
 def _pair(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:
@@ -126,19 +130,22 @@ def merge_rows(source: DataFrame, active: DataFrame, entity: Entity, batch: Batc
     now (``closed``) and the versions beginning now without a surrogate key
     (``opened``). A closed key that comes back is simply new again.
     """
-    new, old = opened_version(entity, batch), kept_version(entity)
-    ended = closed_version(entity, batch)
-    missing = ended if entity.detect_deletes else old
-    rows = (
-        F.when(F.col("class") == "new", F.array(new))
-        .when(F.col("class") == "missing", F.array(missing))
-        .when(F.col("class") == "changed", F.array(ended, new))
-        .otherwise(F.array(old))
+    states = (
+        F.when(F.col("class") == "new", F.array(F.lit(OPENED)))
+        .when(F.col("class") == "missing", F.array(F.lit(CLOSED if entity.detect_deletes else KEPT)))
+        .when(F.col("class") == "changed", F.array(F.lit(CLOSED), F.lit(OPENED)))
+        .otherwise(F.array(F.lit(KEPT)))
     )
-    pairs = classify(source, active, entity)
-    if entity.unique_active:
-        return pairs.select(F.inline(rows))
-    return pairs.select(F.inline(rows), F.col(f"w.{entity.sk}").alias(TIE))
+    rows = classify(source, active, entity).select("s", "w", F.explode(states).alias(STATE))
+    new, ended, old = opened_version(entity, batch), closed_version(entity, batch), kept_version(entity)
+    ending = ("end_date", "update_id")
+    merged = []
+    for name, value in old.items():
+        if name in ending:
+            value = F.when(F.col(STATE) == CLOSED, ended[name]).otherwise(value)
+        merged.append(F.when(F.col(STATE) == OPENED, new[name]).otherwise(value).alias(name))
+    tie = [] if entity.unique_active else [F.col(f"w.{entity.sk}").alias(TIE)]
+    return rows.select(*merged, STATE, *tie)
 
 
 def merge_summary(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:
@@ -173,12 +180,10 @@ def changed_rows(source: DataFrame, active: DataFrame, entity: Entity, batch: Ba
 
 def closed_rows(source: DataFrame, active: DataFrame, entity: Entity, batch: Batch) -> DataFrame:
     """Versions that end because their source row changed."""
-    pairs = _changed_pairs(source, active, entity)
-    return pairs.select(closed_version(entity, batch).alias("r")).select("r.*")
+    return _changed_pairs(source, active, entity).select(*columns(closed_version(entity, batch)))
 
 
 def deleted_rows(source: DataFrame, active: DataFrame, entity: Entity, batch: Batch) -> DataFrame:
     """Versions that end because their key left the source."""
     gone = active.join(source.select(*entity.key), list(entity.key), "left_anti")
-    packed = gone.select(F.struct(*entity.stored_schema.names).alias("w"))
-    return packed.select(closed_version(entity, batch).alias("r")).select("r.*")
+    return gone.alias("w").select(*columns(closed_version(entity, batch)))

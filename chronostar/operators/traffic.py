@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronostar.functions.predicates import differs_null_as_empty
-from chronostar.operators.scd2 import closed_version, kept_version, opened_version
+from chronostar.operators.scd2 import CLOSED, KEPT, OPENED, STATE, closed_version, columns, kept_version, opened_version
 from chronostar.plans.entities import USER_TRAFFIC, Batch
 
 KEY = ["user_id", "source_id", "referred_at"]
@@ -22,16 +22,9 @@ def union_sources(operational: DataFrame, extract: DataFrame) -> DataFrame:
     )
 
 
-def _with_keys(rows: DataFrame, users: DataFrame, sources: DataFrame) -> DataFrame:
-    """Surrogate keys of the open user and source versions; rows without either drop out."""
-    return rows.join(users.select("user_id", "user_sk"), "user_id").join(
-        sources.select("source_id", "traffic_source_sk"), "source_id"
-    )
-
-
-def _first_by(rows: DataFrame, value: Column, order: Column, name: str) -> DataFrame:
-    """Value of the first row per key; partial aggregation keeps repeated keys from piling up."""
-    return rows.groupBy(*KEY).agg(F.min_by(value, order).alias(name))
+def _first(rows: DataFrame, value: tuple[str, ...], order: str, name: str) -> DataFrame:
+    """First row per key; partial aggregation keeps repeated keys from piling up."""
+    return rows.groupBy(*KEY).agg(F.min_by(F.struct(*value), F.col(order)).alias(name))
 
 
 def merge_extract(
@@ -56,36 +49,44 @@ def merge_extract(
     referral of a deleted user can be closed without a successor.
     """
     entity = USER_TRAFFIC
-    known = _first_by(active, F.struct("campaign_code"), F.col(entity.sk), "_known")
-    rows = extract.join(known, KEY, "left").withColumn("_new", F.col("_known").isNull())
+    keyed = extract.join(users.select("user_id", "user_sk"), "user_id", "left").join(
+        sources.select("source_id", "traffic_source_sk"), "source_id", "left"
+    )
+    insertable = F.col("user_sk").isNotNull() & F.col("traffic_source_sk").isNotNull()
+    known = _first(active, ("campaign_code",), entity.sk, "_known")
+    rows = keyed.join(known, KEY, "left")
 
-    inserted = _with_keys(rows.filter("_new"), users, sources)
+    inserted = rows.filter(F.col("_known").isNull() & insertable)
     # Inserted rows are open from here on; the first one stands for its key.
-    first_new = _first_by(inserted, F.struct("campaign_code"), F.col(SEQ), "_known")
-    # Every key is on one side only: known before, or inserted now.
-    differing = rows.filter(~F.col("_new")).unionByName(
-        rows.filter("_new").drop("_known").join(first_new, KEY).select(*rows.columns)
+    first_new = _first(inserted, ("campaign_code",), SEQ, "_first_new")
+    standing = rows.join(first_new, KEY, "left").withColumn("_known", F.coalesce("_known", "_first_new"))
+    differs = differs_null_as_empty(F.col("campaign_code"), F.col("_known.campaign_code"))
+    acting = _first(
+        standing.filter(F.col("_known").isNotNull() & differs),
+        ("campaign_code", "user_sk", "traffic_source_sk", SEQ),
+        SEQ,
+        "_act",
+    )
+    hits = acting.select(*KEY, F.lit(True).alias("_hit"))
+
+    # Referrals open before this extract: closed where a row acts on their key.
+    w = active.select(*KEY, F.struct(*entity.stored_schema.names).alias("w")).join(hits, KEY, "left")
+    kept, closed = kept_version(entity), closed_version(entity, batch)
+    before = w.select(
+        *[F.when(F.col("_hit"), closed[n]).otherwise(kept[n]).alias(n) for n in kept],
+        F.when(F.col("_hit"), CLOSED).otherwise(KEPT).alias(STATE),
     )
-    differing = differing.filter(differs_null_as_empty(F.col("campaign_code"), F.col("_known.campaign_code")))
-    acting = differing.groupBy(*KEY).agg(F.min_by(F.struct("campaign_code", SEQ), F.col(SEQ)).alias("_act"))
-
-    # Open referrals before this extract: closed where a row acts on their key.
-    w = active.select(*KEY, F.struct(*entity.stored_schema.names).alias("w"))
-    hit = w.join(acting.select(*KEY, F.lit(True).alias("_hit")), KEY, "left")
-    before = hit.select(
-        F.when(F.col("_hit"), closed_version(entity, batch)).otherwise(kept_version(entity)).alias("r")
-    ).select("r.*", F.lit(None).cast("int").alias(PASS), F.lit(None).cast(extract.schema[SEQ].dataType).alias(SEQ))
 
     def opened(df: DataFrame, number: int) -> DataFrame:
         packed = df.select(F.struct(*entity.payload).alias("s"), "_end", SEQ)
-        version = opened_version(entity, batch, ended=F.col("_end")).alias("r")
-        return packed.select(version, SEQ).select("r.*", F.lit(number).alias(PASS), SEQ)
-
-    ended = inserted.join(acting.select(*KEY, F.lit(True).alias("_hit")), KEY, "left")
-    fresh = opened(ended.withColumn("_end", F.coalesce("_hit", F.lit(False))), 0)
-    nxt = _with_keys(acting.select(*KEY, "_act.*"), users, sources)
-    successor = opened(nxt.withColumn("_end", F.lit(False)), 1)
-    return before.unionByName(fresh).unionByName(successor)
+        version = columns(opened_version(entity, batch, ended=F.col("_end")))
+        return packed.select(*version, F.lit(OPENED).alias(STATE), F.lit(number).alias(PASS), SEQ)
+
+    fresh = inserted.join(hits, KEY, "left").withColumn("_end", F.coalesce("_hit", F.lit(False)))
+    successor = acting.select(*KEY, "_act.*").filter(insertable).withColumn("_end", F.lit(False))
+    return (
+        opened(fresh, 0).unionByName(opened(successor, 1)).unionByName(before, allowMissingColumns=True)
+    )
 
 
 def partial_key_matches(source: DataFrame, active: DataFrame) -> DataFrame:

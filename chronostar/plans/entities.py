@@ -134,12 +134,8 @@ ENTITIES = {
     e.name: e for e in (USERS, SALES_MANAGERS, COURSES, TRAFFIC_SOURCES, ENROLLMENTS, SALES, USER_TRAFFIC)
 }
 
-# Tables of one wave do not depend on each other; a wave needs the ones before it.
-WAVES = (
-    ("users", "sales_managers", "courses", "traffic_sources"),
-    ("enrollments", "user_traffic"),
-    ("sales",),
-)
+# The tables each one builds on; parents come first in ENTITIES.
+PARENTS = {e.name: [p.table for p in e.parents] for e in ENTITIES.values()}
 
 
 @dataclass(frozen=True)

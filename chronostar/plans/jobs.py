@@ -23,7 +23,7 @@ from chronostar.operators.star import (
     with_unknown_member,
 )
 from chronostar.operators.traffic import KEY, PASS, SEQ, merge_extract
-from chronostar.plans.entities import ENTITIES, USER_TRAFFIC, WAVES, Batch, Entity
+from chronostar.plans.entities import ENTITIES, PARENTS, USER_TRAFFIC, Batch, Entity
 from chronostar.schemas import CSV_AUDIT, HISTORY, STAR
 from chronostar.sources.warehouse import Run, Warehouse
 
@@ -39,12 +39,24 @@ def source_rows(source, entity: Entity, parents: dict[str, DataFrame]) -> DataFr
     return resolve_parents(rows, entity, parents)
 
 
-def _together(step: Callable[[str], None], tables: Iterable[str]) -> None:
-    """Run independent table loads at the same time, so small ones fill the gaps of big ones."""
-    tables = list(tables)
+def _together(step: Callable[[str], None], tables: Iterable[str], after: dict[str, list[str]] | None = None) -> None:
+    """Run table loads at the same time, each once the tables it builds on are done.
+
+    Small tables fill the gaps of big ones. Tables are listed after the ones they
+    build on, so one thread per table cannot wait in a circle.
+    """
+    tables, done = list(tables), {}
     with ThreadPoolExecutor(len(tables)) as pool:
-        for done in [pool.submit(step, t) for t in tables]:
-            done.result()
+
+        def when_ready(table: str) -> None:
+            for other in (after or {}).get(table, []):
+                done[other].result()
+            step(table)
+
+        for table in tables:
+            done[table] = pool.submit(when_ready, table)
+    for finished in done.values():
+        finished.result()
 
 
 def _parents(run: Run, entity: Entity) -> dict[str, DataFrame]:
@@ -78,8 +90,7 @@ def full_load(
             order = (entity.audit, *KEY, SEQ)
         run.load(table, rows, order)
 
-    for wave in WAVES:
-        _together(load, wave)
+    _together(load, ENTITIES, PARENTS)
     bounds = overall_bounds(date_bounds({t: run.current(t) for t in ENTITIES}))
     _write_star(run, calendar(bounds), key_mode, unknown_members, active_enrollments_only=False)
     run.commit()
@@ -112,8 +123,7 @@ def incremental_load(
         if entity is USER_TRAFFIC and extract is not None:
             land_extract(run, extract, Batch(batch_id, batch_ts, CSV_AUDIT))
 
-    for wave in WAVES:
-        _together(merge, wave)
+    _together(merge, ENTITIES, PARENTS)
     refresh_star(run, batch_id, key_mode, unknown_members)
     run.commit()
 

@@ -34,32 +34,39 @@ class Warehouse:
 
     # --- manifest -------------------------------------------------------------
 
-    def _versions(self) -> list[int]:
-        """Committed manifest versions (a listing of names, no data)."""
+    def _files(self, name: str = ""):
+        """Hadoop file system and path of a manifest file (or of their folder)."""
         jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        done = []
-        for status in fs.listStatus(folder):
-            path = status.getPath()
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-                done.append(int(path.getName().removeprefix("v")))
-        return done
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _versions(self) -> list[int]:
+        """Published manifest versions (a listing of names, no data)."""
+        fs, folder = self._files()
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        return [int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json")]
 
     def manifest(self) -> dict:
         version = self.as_of or max(self._versions(), default=0)
         if not version:
             return json.loads(json.dumps(_EMPTY))
-        row = self.spark.read.text(f"{self.root}/manifest/v{version:08d}").first()
-        return json.loads(row.value)
+        fs, path = self._files(f"v{version:08d}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def commit(self, manifest: dict) -> None:
         """Publish the next state; fails if another run published that version first."""
         manifest["version"] += 1
-        line = self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1)
-        line.write.mode("errorifexists").text(f"{self.root}/manifest/v{manifest['version']:08d}")
+        fs, path = self._files(f"v{manifest['version']:08d}.json")
+        _, draft = self._files(f"draft-{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
+        stream.write(bytearray(json.dumps(manifest), "utf-8"))
+        stream.close()
+        if fs.exists(path) or not fs.rename(draft, path):
+            raise RuntimeError(f"manifest version {manifest['version']} exists: another run was faster, start again")
 
     def branch(self, root: str) -> Warehouse:
         """A warehouse of its own that starts from this one's state and shares its immutable files."""
