@@ -14,7 +14,7 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33
 
 
 def assign_keys(
-    df: DataFrame, sk: str, order: Sequence[str | Column], start: int = 0, label: str = "keys"
+    df: DataFrame, sk: str, order: Sequence[str | Column], start: int = 0, path: str | None = None
 ) -> tuple[DataFrame, int]:
     """Number the rows of ``df`` densely from ``start + 1`` in the given order.
 
@@ -26,7 +26,8 @@ def assign_keys(
     partition, pass through the driver to become offsets. ``order`` must be a total order;
     a column that is a tie for many rows has to be followed by one that is not.
 
-    The write makes the sampled bounds final: re-reading it cannot renumber rows.
+    The write (to ``path``, or the session's staging folder) makes the sampled
+    bounds final: re-reading it cannot renumber rows.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     placed = stage(
@@ -34,7 +35,8 @@ def assign_keys(
         .sortWithinPartitions(*cols)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)),
-        label,
+        f"{sk}-keys",
+        path,
     )
     # One row per non-empty partition: bounded by the partition count, never by the data.
     sizes = placed.groupBy("_part").count().collect()

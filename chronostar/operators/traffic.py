@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chronostar.functions.predicates import differs_null_as_empty
 from chronostar.operators.scd2 import CLOSED, KEPT, OPENED, STATE, closed_version, columns, kept_version, opened_version
 from chronostar.plans.entities import USER_TRAFFIC, Batch
+from chronostar.session import stage
 
 KEY = ["user_id", "source_id", "referred_at"]
 SEQ = "_seq"  # position of a CSV row in its extract; breaks ties between repeated keys
@@ -33,6 +34,7 @@ def merge_extract(
     users: DataFrame,
     sources: DataFrame,
     batch: Batch,
+    path: str | None = None,
 ) -> DataFrame:
     """Fold one CSV extract into the open referrals, in set form.
 
@@ -53,7 +55,10 @@ def merge_extract(
         sources.select("source_id", "traffic_source_sk"), "source_id", "left"
     )
     insertable = F.col("user_sk").isNotNull() & F.col("traffic_source_sk").isNotNull()
-    known = _first(active, ("campaign_code",), entity.sk, "_known")
+    # Only keys of the extract matter: a small extract is broadcast and the open
+    # referrals are filtered where they lie, a big one meets them in one shuffle.
+    met = active.select(*KEY, entity.sk, "campaign_code").join(extract.select(*KEY), KEY, "left_semi")
+    known = _first(met, ("campaign_code",), entity.sk, "_known")
     rows = keyed.join(known, KEY, "left")
 
     inserted = rows.filter(F.col("_known").isNull() & insertable)
@@ -67,6 +72,8 @@ def merge_extract(
         SEQ,
         "_act",
     )
+    # Written, so that its real size decides how it meets the open referrals.
+    acting = stage(acting, "acting", path)
     hits = acting.select(*KEY, F.lit(True).alias("_hit"))
 
     # Referrals open before this extract: closed where a row acts on their key.

@@ -147,10 +147,16 @@ def load_extract(
 
 
 def land_extract(run: Run, extract: DataFrame, batch: Batch) -> None:
-    rows = merge_extract(
-        extract, run.current("user_traffic"), run.current("users"), run.current("traffic_sources"), batch
-    )
-    run.land("user_traffic", rows, (PASS, *KEY, SEQ), label="extract")
+    with run.scratch("extract") as scratch:
+        rows = merge_extract(
+            extract,
+            run.current("user_traffic"),
+            run.current("users"),
+            run.current("traffic_sources"),
+            batch,
+            scratch,
+        )
+        run.land("user_traffic", rows, (PASS, *KEY, SEQ), label="extract")
 
 
 def refresh_star(run: Run, batch_id: int, key_mode: str, unknown_members: bool) -> None:

@@ -53,7 +53,7 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
     Cuts the lineage, survives lost executors, and gives later joins the real
@@ -61,6 +61,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     still prune columns.
     """
     spark = df.sparkSession
-    path = stage_path(spark, label)
+    path = path or stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

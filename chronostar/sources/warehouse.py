@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 from chronostar.functions.predicates import is_active
 from chronostar.operators.keys import assign_keys
 from chronostar.operators.scd2 import CLOSED, KEPT, OPENED, STATE
-from chronostar.plans.entities import ENTITIES, Entity
-from chronostar.schemas import HISTORY, LAYERS, STAR
+from chronostar.plans.entities import ENTITIES
+from chronostar.schemas import HISTORY, STAR
 
 _EMPTY = {"version": 0, "runs": [], "tables": {}, "star": {}}
 
@@ -68,6 +68,15 @@ class Warehouse:
         if fs.exists(path) or not fs.rename(draft, path):
             raise RuntimeError(f"manifest version {manifest['version']} exists: another run was faster, start again")
 
+    def exists(self, path: str) -> bool:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+
+    def remove(self, path: str) -> None:
+        """Delete a folder this run wrote."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
     def branch(self, root: str) -> Warehouse:
         """A warehouse of its own that starts from this one's state and shares its immutable files."""
         other = Warehouse(self.spark, root)
@@ -79,23 +88,22 @@ class Warehouse:
 
     # --- tables ---------------------------------------------------------------
 
-    def _read(self, entity: Entity, folders: list[str], state: str) -> DataFrame:
-        schema = entity.stored_schema
-        reader = self.spark.read.schema(_with_state(schema))
-        frames = [reader.parquet(folder).filter(F.col(STATE) == state).drop(STATE) for folder in folders]
-        if not frames:
+    def _read(self, table: str, folders: list[str]) -> DataFrame:
+        schema = ENTITIES[table].stored_schema
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return reduce(DataFrame.unionByName, frames)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def _entry(self, table: str, manifest: dict | None) -> dict:
+        return (manifest or self.manifest())["tables"].get(table, {"current": [], "closed": [], "last_key": 0})
 
     def current(self, table: str, manifest: dict | None = None) -> DataFrame:
         """Open versions, with the parents' business keys."""
-        entry = (manifest or self.manifest())["tables"].get(table)
-        return self._read(ENTITIES[table], [entry["current"]] if entry else [], KEPT)
+        return self._read(table, self._entry(table, manifest)["current"])
 
     def closed(self, table: str, manifest: dict | None = None) -> DataFrame:
         """Ended versions of all runs since the last full load."""
-        entry = (manifest or self.manifest())["tables"].get(table)
-        return self._read(ENTITIES[table], entry["closed"] if entry else [], CLOSED)
+        return self._read(table, self._entry(table, manifest)["closed"])
 
     def stored(self, table: str) -> DataFrame:
         manifest = self.manifest()
@@ -106,8 +114,7 @@ class Warehouse:
         return self.stored(table).select(*HISTORY[table].names)
 
     def last_key(self, table: str, manifest: dict | None = None) -> int:
-        entry = (manifest or self.manifest())["tables"].get(table)
-        return entry["last_key"] if entry else 0
+        return self._entry(table, manifest)["last_key"]
 
     def star(self, table: str) -> DataFrame:
         path = self.manifest()["star"].get(table)
@@ -120,38 +127,25 @@ class Warehouse:
     # --- layer operations -----------------------------------------------------
 
     def reset_layer(self, layer: str, restart_keys: bool = True) -> None:
-        """Empty every table of a layer; surrogate keys start again unless told otherwise."""
+        """Empty every table of a layer; surrogate keys start again unless told otherwise.
+
+        The star builds on the history, so emptying the history empties both.
+        """
         manifest = self.manifest()
         if layer == "warehouse":
-            kept = {} if restart_keys else {t: self.last_key(t, manifest) for t in manifest["tables"]}
-            manifest["tables"] = {}
-            run = Run(self, f"reset-{uuid.uuid4().hex[:8]}", manifest)
-            for table, last in kept.items():
-                run.land(table, self._empty(table), last_key=last)
+            for entry in manifest["tables"].values():
+                entry |= {"current": [], "closed": []}
+                if restart_keys:
+                    entry["last_key"] = 0
         manifest["star"] = {}
         self.commit(manifest)
 
-    def create_missing(self) -> None:
-        """Write every declared table that does not exist yet as an empty dataset."""
-        manifest = self.manifest()
-        run = Run(self, "create", manifest)
-        for table in ENTITIES:
-            if table not in manifest["tables"]:
-                run.land(table, self._empty(table))
-        for table in LAYERS["star_schema"]:
-            if table not in manifest["star"]:
-                run.write_star(table, self.spark.createDataFrame([], STAR[table].schema))
-        self.commit(manifest)
-
-    def _empty(self, table: str) -> DataFrame:
-        return self.spark.createDataFrame([], _with_state(ENTITIES[table].stored_schema))
-
     def begin(self, run_id: str, truncate: bool = False) -> Run:
         """Start a run. ``truncate`` drops all versions but goes on counting keys."""
         manifest = self.manifest()
         if truncate:
             for entry in manifest["tables"].values():
-                entry["closed"] = []
+                entry |= {"current": [], "closed": []}
         return Run(self, run_id, manifest)
 
 
@@ -172,34 +166,45 @@ class Run:
         self, table: str, rows: DataFrame, order: tuple = (), last_key: int | None = None, label: str = "rows"
     ) -> None:
         """Write merge output once, then number and append the versions it opened."""
-        entity = ENTITIES[table]
         path = f"{self.folder}/{table}/{label}"
-        schema = entity.stored_schema
-        start = self.store.last_key(table, self.manifest) if last_key is None else last_key
-        extra = [f for f in rows.schema if f.name not in schema.names and f.name != STATE]
         rows.write.partitionBy(STATE).parquet(path)
-        written = self.store.spark.read.schema(_with_state(rows.schema)).parquet(path)
-        self._append_opened(entity, written.filter(F.col(STATE) == OPENED).drop(STATE), path, order, start, extra)
-
-    def load(self, table: str, rows: DataFrame, order: tuple = ()) -> None:
+        columns = T.StructType([f for f in rows.schema if f.name != STATE])
+        opened = f"{path}/{STATE}={OPENED}"
+        last = self.store.last_key(table, self.manifest) if last_key is None else last_key
+        if self.store.exists(opened):
+            last = self._append(table, self.store.spark.read.schema(columns).parquet(opened), path, order, last)
+            self.store.remove(opened)
+        self._enter(table, path, last)
+
+    def load(self, table: str, rows: DataFrame, order: tuple) -> None:
         """Write rows that are all newly opened, without the merge detour."""
-        entity = ENTITIES[table]
         path = f"{self.folder}/{table}/rows"
-        start = self.store.last_key(table, self.manifest)
-        extra = [f for f in rows.schema if f.name not in entity.stored_schema.names and f.name != STATE]
-        self._append_opened(entity, rows.drop(STATE), path, order, start, extra)
-
-    def _append_opened(self, entity: Entity, opened: DataFrame, path: str, order, start: int, extra) -> None:
-        table = entity.name
-        last = start
-        if order:
-            keyed, last = assign_keys(opened, entity.sk, order, start, f"{table}-keys")
-            state = F.when(is_active(), KEPT).otherwise(CLOSED)
-            keyed.drop(*[f.name for f in extra]).withColumn(STATE, state).write.mode("append").partitionBy(
-                STATE
-            ).parquet(path)
+        self._enter(table, path, self._append(table, rows, path, order, self.store.last_key(table, self.manifest)))
+
+    def _append(self, table: str, opened: DataFrame, path: str, order: tuple, start: int) -> int:
+        entity = ENTITIES[table]
+        with self.scratch(f"{table}-keys") as scratch:
+            keyed, last = assign_keys(opened, entity.sk, order, start, scratch)
+            state = F.when(is_active(), KEPT).otherwise(CLOSED).alias(STATE)
+            rows = keyed.select(*entity.stored_schema.names, state)
+            rows.write.mode("append").partitionBy(STATE).parquet(path)
+        return last
+
+    def _enter(self, table: str, path: str, last_key: int) -> None:
+        kept, closed = ([p] if self.store.exists(p) else [] for p in _folders(path))
         before = self.manifest["tables"].get(table, {"closed": []})
-        self.manifest["tables"][table] = {"current": path, "closed": [*before["closed"], path], "last_key": last}
+        self.manifest["tables"][table] = {
+            "current": kept,
+            "closed": [*before["closed"], *closed],
+            "last_key": last_key,
+        }
+
+    @contextmanager
+    def scratch(self, label: str):
+        """A folder for staged rows that goes away once they have been used."""
+        path = f"{self.folder}/scratch/{label}-{uuid.uuid4().hex[:8]}"
+        yield path
+        self.store.remove(path)
 
     def current(self, table: str) -> DataFrame:
         return self.store.current(table, self.manifest)
@@ -220,5 +225,5 @@ class Run:
         self.store.commit(self.manifest)
 
 
-def _with_state(schema: T.StructType) -> T.StructType:
-    return T.StructType([f for f in schema if f.name != STATE] + [T.StructField(STATE, T.StringType())])
+def _folders(path: str) -> tuple[str, str]:
+    return f"{path}/{STATE}={KEPT}", f"{path}/{STATE}={CLOSED}"
