@@ -111,8 +111,6 @@ class _Entity:
         self.distinct, self.empty, self.parents, self.audit = distinct, empty, parents, audit
         self.columns = HISTORY[name].names
         self.payload = [c for c in self.columns[1:] if c not in HISTORY_AUDIT and c != audit]
-        if name == "traffic_sources":
-            self.payload = ["source_id", *self.payload] if "source_id" not in self.payload else self.payload
 
     def source_rows(self, snapshot: int) -> str:
         """Source rows with the keys of their parents' open versions in the same generation."""
@@ -313,7 +311,6 @@ SELECT c.user_id, c.source_id, c.referred_at
  WHERE c.snapshot = 2 AND coalesce(c.campaign_code, '') <> coalesce(b.campaign_code, '')"""
 VIEWS["c2_csv"] = "SELECT 1 AS step, s.* FROM s2_csv s JOIN a2_csv USING (user_id, source_id, referred_at)"
 VIEWS["k2_csv"] = "SELECT b.user_traffic_sk FROM b2_csv b JOIN a2_csv USING (user_id, source_id, referred_at)"
-VIEWS["o2_csv"] = "SELECT * FROM n2_csv UNION ALL SELECT * FROM (SELECT step, COLUMNS(* EXCLUDE (step)) FROM c2_csv)"
 VIEWS["o2_csv"] = (
     f"SELECT step, {_UT.cols}{_UT.carried} FROM n2_csv UNION ALL SELECT step, {_UT.cols}{_UT.carried} FROM c2_csv"
 )
@@ -417,7 +414,11 @@ def _versions(e: _Entity, source: str, where: str = "TRUE", with_key: bool = Tru
     cols = []
     for n in names:
         expr = override.get(n, n)
-        cols.append(f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {n}" if n == "end_date" else f"{expr} AS {n}")
+        if n == "end_date":
+            expr = f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+        elif n == "update_id":
+            expr = f"CAST({expr} AS VARCHAR)"
+        cols.append(f"{expr} AS {n}")
     return f"SELECT {', '.join(cols)} FROM {source} WHERE {where}"
 
 
@@ -610,11 +611,10 @@ SELECT user_sk, traffic_source_sk, referred_at, campaign_code, start_date,
        CASE WHEN user_traffic_sk IN (SELECT user_traffic_sk FROM hit) THEN '2024-02-02 00:00:00'
             ELSE '9999-12-31 00:00:00' END AS end_date,
        source_id_audit, insert_id,
-       CASE WHEN user_traffic_sk IN (SELECT user_traffic_sk FROM hit) THEN {BATCH} ELSE update_id END AS update_id
+       CASE WHEN user_traffic_sk IN (SELECT user_traffic_sk FROM hit) THEN '{BATCH}' END AS update_id
   FROM h1_user_traffic
 UNION ALL
-SELECT u.user_sk, t.traffic_source_sk, f.referred_at, f.campaign_code, {T2}, '9999-12-31 00:00:00', 2, {BATCH},
-       {NO_UPDATE}
+SELECT u.user_sk, t.traffic_source_sk, f.referred_at, f.campaign_code, {T2}, '9999-12-31 00:00:00', 2, {BATCH}, NULL
   FROM fresh f JOIN h1_users u ON u.user_id = f.user_id JOIN h1_traffic_sources t ON t.source_id = f.source_id"""
     sql["agg_date_bounds"] = "SELECT * FROM bounds"
     sql["agg_batch_sale_bounds"] = f"""

@@ -39,10 +39,19 @@ def query(name: str):
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """End dates as text: year 9999 does not fit a nanosecond timestamp on the client."""
+    """End dates and closing batches as text.
+
+    On a pandas client year 9999 does not fit a nanosecond timestamp, and whole
+    numbers with gaps would turn into floats.
+    """
     if "end_date" not in df.columns:
         return df
-    return df.withColumn("end_date", F.date_format("end_date", "yyyy-MM-dd HH:mm:ss"))
+    return df.withColumns(
+        {
+            "end_date": F.date_format("end_date", "yyyy-MM-dd HH:mm:ss"),
+            "update_id": F.col("update_id").cast("string"),
+        }
+    )
 
 
 def versions(df: DataFrame, entity: Entity, with_key: bool = True) -> DataFrame:
