@@ -28,12 +28,19 @@ def update_from(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> Data
     )
 
 
+MAX_LISTED = 1000  # longer lists are joined instead of being written into the predicate
+
+
 def delete_ids(base: DataFrame, column: str, ids: Iterable[int] | DataFrame) -> DataFrame:
-    """Drop the rows whose key is listed: a short list becomes a predicate, a frame an anti join."""
-    if isinstance(ids, DataFrame):
-        return base.join(ids.select(column), column, "left_anti")
-    listed = list(ids)
-    return base.filter(~F.coalesce(F.col(column).isin(listed), F.lit(False))) if listed else base
+    """Drop the rows whose key is listed: a short list becomes a predicate, anything else an anti join."""
+    if not isinstance(ids, DataFrame):
+        listed = list(ids)
+        if not listed:
+            return base
+        if len(listed) <= MAX_LISTED:
+            return base.filter(~F.coalesce(F.col(column).isin(listed), F.lit(False)))
+        ids = base.sparkSession.createDataFrame([(i,) for i in listed], f"{column} long")
+    return base.join(ids.select(column), column, "left_anti")
 
 
 def double_in_range(base: DataFrame, amount: str, at: str, first: Column, last: Column) -> DataFrame:

@@ -12,55 +12,60 @@ from chronostar.operators.keys import active
 from chronostar.schemas import ForeignKey, Table
 
 
-def _count_rules(df: DataFrame, table: Table, rules: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Violations of many row rules in one pass: one row per rule, also where there are none."""
-    counts = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(rule).alias("rule"),
-                    F.lit(column).alias("column"),
-                    F.count_if(broken).alias("violations"),
-                )
-                for rule, (column, broken) in rules.items()
-            ]
-        ).alias("r")
-    )
-    return counts.select(F.inline("r")).select(F.lit(table.name).alias("table"), "rule", "column", "violations")
+Rules = dict[str, tuple[str, Column]]  # rule -> (column, condition that breaks it)
+
+
+def _true(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
+def not_null_rules(table: Table) -> Rules:
+    return {f"not_null:{c.name}": (c.name, F.col(c.name).isNull()) for c in table.columns if c.required}
+
+
+def max_length_rules(table: Table) -> Rules:
+    return {
+        f"max_length:{c.name}": (c.name, _true(F.length(c.name) > c.length)) for c in table.columns if c.length
+    }
+
+
+def non_negative_rules(table: Table) -> Rules:
+    return {f"non_negative:{c}": (c, _true(F.col(c) < 0)) for c in table.non_negative}
+
+
+def enum_rules(table: Table) -> Rules:
+    return {f"enum:{c}": (c, _true(~F.col(c).isin(*values))) for c, values in table.enums.items()}
+
+
+def row_rules(table: Table) -> Rules:
+    """Every declared rule that a single row can break."""
+    return not_null_rules(table) | max_length_rules(table) | non_negative_rules(table) | enum_rules(table)
+
+
+def count_rules(df: DataFrame, table: Table, rules: Rules) -> DataFrame:
+    """Violations of all given rules in one pass: one row per rule, also where there are none."""
+    entries = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"), F.count_if(broken).alias("violations"))
+        for rule, (column, broken) in rules.items()
+    ]
+    counts = df.agg(F.array(*entries).alias("r")).select(F.inline("r"))
+    return counts.select(F.lit(table.name).alias("table"), "rule", "column", "violations")
 
 
 def not_null(df: DataFrame, table: Table) -> DataFrame:
-    return _count_rules(
-        df, table, {f"not_null:{c.name}": (c.name, F.col(c.name).isNull()) for c in table.columns if c.required}
-    )
+    return count_rules(df, table, not_null_rules(table))
 
 
 def max_length(df: DataFrame, table: Table) -> DataFrame:
-    return _count_rules(
-        df,
-        table,
-        {
-            f"max_length:{c.name}": (c.name, F.coalesce(F.length(c.name) > c.length, F.lit(False)))
-            for c in table.columns
-            if c.length
-        },
-    )
+    return count_rules(df, table, max_length_rules(table))
 
 
 def non_negative(df: DataFrame, table: Table) -> DataFrame:
-    return _count_rules(
-        df,
-        table,
-        {f"non_negative:{c}": (c, F.coalesce(F.col(c) < 0, F.lit(False))) for c in table.non_negative},
-    )
+    return count_rules(df, table, non_negative_rules(table))
 
 
 def allowed_values(df: DataFrame, table: Table) -> DataFrame:
-    return _count_rules(
-        df,
-        table,
-        {f"enum:{c}": (c, F.coalesce(~F.col(c).isin(*v), F.lit(False))) for c, v in table.enums.items()},
-    )
+    return count_rules(df, table, enum_rules(table))
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -90,13 +95,7 @@ def dangling(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
 
 def check_table(df: DataFrame, table: Table, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Every declared rule of one table: ``table, rule, column, violations``."""
-    parts = [not_null(df, table)]
-    if any(c.length for c in table.columns):
-        parts.append(max_length(df, table))
-    if table.non_negative:
-        parts.append(non_negative(df, table))
-    if table.enums:
-        parts.append(allowed_values(df, table))
+    parts = [count_rules(df, table, row_rules(table))]
     for key in table.unique:
         named = ",".join(key)
         parts.append(

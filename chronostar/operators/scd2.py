@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronostar.functions.predicates import differs_null_as_empty, is_distinct_from
@@ -88,8 +90,23 @@ def initial_rows(source: DataFrame, entity: Entity, batch: Batch, *keep: str) ->
     return rows.select(*columns(opened_version(entity, batch)), *keep)
 
 
+def unrepeated(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The source, failing when a key comes twice (the operational tables declare it unique).
+
+    Numbers the rows of a key in the partitioning and order the merge join needs
+    anyway, so the check adds no shuffle and no sort.
+    """
+    repeat = F.row_number().over(W.partitionBy(*key).orderBy(*key)) > 1
+    checked = source.withColumn("_repeat", repeat)
+    message = F.concat(F.lit(f"repeated source key {', '.join(key)}: "), F.to_json(F.struct(*key)))
+    alarm = F.raise_error(message).cast("boolean")
+    return checked.filter(F.when(F.col("_repeat"), alarm).otherwise(True)).drop("_repeat")
+
+
 def _pair(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:
     """Source rows (``s``) beside the open versions (``w``) of the same key."""
+    if entity.unique_active:
+        source = unrepeated(source, entity.key)
     s = source.select(*[F.col(k).alias(f"_s_{k}") for k in entity.key], F.struct(*entity.payload).alias("s"))
     w = active.select(
         *[F.col(k).alias(f"_w_{k}") for k in entity.key], F.struct(*entity.stored_schema.names).alias("w")
@@ -100,7 +117,8 @@ def _pair(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:
         # and no partition can be skewed by a repeated key.
         return s.join(w, on, "full_outer").select("s", "w")
     # A key may have many open versions. Full outer joins cannot be split on
-    # skew; a left join from the versions and an anti join can.
+    # skew; a left join from the versions and an anti join can, as long as the
+    # shuffled sides go straight into the join (so no check on the way there).
     seen = w.join(s, on, "left").select("s", "w")
     unseen = s.join(w.select(*[f"_w_{k}" for k in entity.key]), on, "left_anti").select(
         "s", F.lit(None).cast(seen.schema["w"].dataType).alias("w")

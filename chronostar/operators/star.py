@@ -109,13 +109,19 @@ def with_unknown_member(name: str, dim: DataFrame) -> DataFrame:
 # --- calendar -----------------------------------------------------------------
 
 
+def _side_by_side(frames: dict[str, DataFrame]) -> DataFrame:
+    """One-row frames with differing columns as one row: their union, then the only value of each column."""
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames.values())
+    return union.agg(*[F.max(c).alias(c) for c in union.columns])
+
+
 def date_bounds(tables: dict[str, DataFrame]) -> DataFrame:
     """One row: earliest and latest day of every dated table (``min_<table>``, ``max_<table>``)."""
-    frames = []
+    frames = {}
     for table, column in CALENDAR_COLUMNS.items():
         day = F.col(column).cast("date")
-        frames.append(tables[table].agg(F.min(day).alias(f"min_{table}"), F.max(day).alias(f"max_{table}")))
-    return reduce(lambda a, b: a.crossJoin(b), frames)  # global aggregates: one row each
+        frames[table] = tables[table].agg(F.min(day).alias(f"min_{table}"), F.max(day).alias(f"max_{table}"))
+    return _side_by_side(frames)
 
 
 def overall_bounds(bounds: DataFrame, today: Column | None = None) -> DataFrame:
@@ -145,7 +151,7 @@ def batch_sale_bounds(sales: DataFrame, batch_id: int) -> DataFrame:
 def extend_calendar(dim_date: DataFrame, sales: DataFrame, batch_id: int) -> DataFrame:
     """The calendar widened to the days of a batch's new sales; unchanged if they lie inside."""
     have = dim_date.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    both = have.crossJoin(batch_sale_bounds(sales, batch_id))
+    both = _side_by_side({"have": have, "new": batch_sale_bounds(sales, batch_id)})
     span = both.select(
         F.when(F.col("min_sale_date").isNull(), F.col("lo")).otherwise(F.least("lo", "min_sale_date")).alias("first"),
         F.when(F.col("max_sale_date").isNull(), F.col("hi")).otherwise(F.greatest("hi", "max_sale_date")).alias("last"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronostar.operators.keys import resolve_parents
+from chronostar.operators.quality import repeated_keys
 from chronostar.operators.scd2 import TIE, denormalise_courses, initial_rows, merge_rows
 from chronostar.operators.star import (
     DIMENSIONS,
@@ -63,6 +64,13 @@ def _parents(run: Run, entity: Entity) -> dict[str, DataFrame]:
     return {p.table: run.current(p.table) for p in entity.parents}
 
 
+def _require_unique(rows: DataFrame, entity: Entity) -> None:
+    """Fail on a source key that comes twice, as the declared constraint would."""
+    repeated = repeated_keys(rows, entity.key).limit(3).collect()
+    if repeated:
+        raise ValueError(f"repeated source keys in {entity.name}: {repeated}")
+
+
 def full_load(
     store: Warehouse,
     source,
@@ -78,11 +86,14 @@ def full_load(
         return
     run = store.begin(run_id, truncate=True)
     batch = Batch(batch_id, batch_ts)
+    checks: dict[str, DataFrame] = {}
 
     def load(table: str) -> None:
         entity = ENTITIES[table]
         rows = initial_rows(source_rows(source, entity, _parents(run, entity)), entity, batch)
         order = entity.order
+        if not entity.unique_active:
+            checks[table] = rows
         if entity is USER_TRAFFIC and extract is not None:
             keyed = resolve_parents(extract, entity, _parents(run, entity), SEQ)
             delivered = initial_rows(keyed, entity, Batch(batch_id, batch_ts, CSV_AUDIT), SEQ)
@@ -91,8 +102,9 @@ def full_load(
         run.load(table, rows, order)
 
     _together(load, ENTITIES, PARENTS)
+    checks |= {t: run.current(t) for t, e in ENTITIES.items() if e.unique_active}
     bounds = overall_bounds(date_bounds({t: run.current(t) for t in ENTITIES}))
-    _write_star(run, calendar(bounds), key_mode, unknown_members, active_enrollments_only=False)
+    _write_star(run, calendar(bounds), key_mode, unknown_members, False, checks)
     run.commit()
 
 
@@ -115,16 +127,21 @@ def incremental_load(
         return
     run = store.begin(run_id)
     batch = Batch(batch_id, batch_ts)
+    checks: dict[str, DataFrame] = {}
 
     def merge(table: str) -> None:
         entity = ENTITIES[table]
-        rows = merge_rows(source_rows(source, entity, _parents(run, entity)), run.current(table), entity, batch)
+        fresh = source_rows(source, entity, _parents(run, entity))
+        if not entity.unique_active:  # the merge itself checks the others
+            checks[table] = fresh
+        rows = merge_rows(fresh, run.current(table), entity, batch)
         run.land(table, rows, entity.order if entity.unique_active else (*entity.order, TIE))
         if entity is USER_TRAFFIC and extract is not None:
             land_extract(run, extract, Batch(batch_id, batch_ts, CSV_AUDIT))
 
     _together(merge, ENTITIES, PARENTS)
-    refresh_star(run, batch_id, key_mode, unknown_members)
+    days = extend_calendar(run.star("dim_date"), run.current("sales"), batch_id)
+    _write_star(run, days, key_mode, unknown_members, True, checks)
     run.commit()
 
 
@@ -135,14 +152,13 @@ def load_extract(
     batch_ts: str,
     run_id: str,
     key_mode: str = AS_LOADED,
-    unknown_members: bool = False,
 ) -> None:
-    """Fold one extract into the referrals and rebuild the fact, nothing else."""
+    """Fold one extract into the referrals and rebuild the fact; dimensions and calendar stay as they are."""
     if store.has_run(run_id):
         return
     run = store.begin(run_id)
     land_extract(run, extract, Batch(batch_id, batch_ts, CSV_AUDIT))
-    refresh_star(run, batch_id, key_mode, unknown_members)
+    _write_fact(run, key_mode, active_enrollments_only=True)
     run.commit()
 
 
@@ -159,29 +175,36 @@ def land_extract(run: Run, extract: DataFrame, batch: Batch) -> None:
         run.land("user_traffic", rows, (PASS, *KEY, SEQ), label="extract")
 
 
-def refresh_star(run: Run, batch_id: int, key_mode: str, unknown_members: bool) -> None:
-    days = extend_calendar(run.star("dim_date"), run.current("sales"), batch_id)
-    _write_star(run, days, key_mode, unknown_members, active_enrollments_only=True)
-
-
 def _write_star(
-    run: Run, days: DataFrame, key_mode: str, unknown_members: bool, active_enrollments_only: bool
+    run: Run,
+    days: DataFrame,
+    key_mode: str,
+    unknown_members: bool,
+    active_enrollments_only: bool,
+    checks: dict[str, DataFrame],
 ) -> None:
-    """Write the dimensions and the fact.
+    """Write the dimensions and the fact; meanwhile check the given rows for repeated keys.
 
     Dropping a batch's touched keys, adding its open versions and filling in
     missing members always ends at one row per open version, so the dimensions
     are projected from the open versions; no join, and no read of closed history.
     """
 
-    def write(table: str) -> None:
-        if table == "dim_date":
-            run.write_star(table, days)
-            return
-        dim = dimension(table, run.current(DIMENSIONS[table][0]))
-        run.write_star(table, with_unknown_member(table, dim) if unknown_members else dim)
+    def write(name: str) -> None:
+        if name in checks:
+            _require_unique(checks[name], ENTITIES[name])
+        elif name == "dim_date":
+            run.write_star(name, days)
+        elif name == "fact_sales":
+            _write_fact(run, key_mode, active_enrollments_only)
+        else:
+            dim = dimension(name, run.current(DIMENSIONS[name][0]))
+            run.write_star(name, with_unknown_member(name, dim) if unknown_members else dim)
+
+    _together(write, ("dim_date", "fact_sales", *DIMENSIONS, *checks), {"fact_sales": ["dim_date"]})
+
 
-    _together(write, (*DIMENSIONS, "dim_date"))
+def _write_fact(run: Run, key_mode: str, active_enrollments_only: bool) -> None:
     if key_mode == CURRENT:
         fact = fact_current({t: run.current(t) for t in ENTITIES}, run.star("dim_date"))
     else:

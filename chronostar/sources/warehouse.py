@@ -116,8 +116,8 @@ class Warehouse:
     def last_key(self, table: str, manifest: dict | None = None) -> int:
         return self._entry(table, manifest)["last_key"]
 
-    def star(self, table: str) -> DataFrame:
-        path = self.manifest()["star"].get(table)
+    def star(self, table: str, manifest: dict | None = None) -> DataFrame:
+        path = (manifest or self.manifest())["star"].get(table)
         schema = STAR[table].schema
         return self.spark.read.schema(schema).parquet(path) if path else self.spark.createDataFrame([], schema)
 
@@ -218,7 +218,7 @@ class Run:
         self.manifest["star"][table] = path
 
     def star(self, table: str) -> DataFrame:
-        return self.store.spark.read.schema(STAR[table].schema).parquet(self.manifest["star"][table])
+        return self.store.star(table, self.manifest)
 
     def commit(self) -> None:
         self.manifest["runs"].append(self.run_id)

@@ -30,7 +30,6 @@ def fold_arrivals(
     name: str = "referrals",
     clock: Callable[[], str] = _now,
     key_mode: str = AS_LOADED,
-    unknown_members: bool = False,
     max_files: int = 1000,
 ) -> StreamingQuery:
     """Fold every file that arrived since the last call into the referrals, then stop.
@@ -41,9 +40,7 @@ def fold_arrivals(
     """
 
     def fold(rows: DataFrame, number: int) -> None:
-        load_extract(
-            store, number_rows(rows), batch_id, clock(), f"{name}-{number}", key_mode, unknown_members
-        )
+        load_extract(store, number_rows(rows), batch_id, clock(), f"{name}-{number}", key_mode)
 
     return (
         arrivals(store.spark, folder, max_files)

@@ -1,6 +1,6 @@
 """Run registered queries against their SQL on the same tables.
 
-    python tests/compare.py [sf0.01] [name ...]
+    python tests/compare.py [sf0.01 | /folder] [name ...]
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ TABLES = (
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for t in TABLES:
+    for t in (t for t in TABLES if os.path.exists(f"{sf_dir}/{t}.parquet")):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return con
 
@@ -74,8 +74,8 @@ def main() -> None:
     from chronostar.session import build_session
 
     args = sys.argv[1:]
-    sf = args.pop(0) if args and args[0].startswith("sf") else "sf0.01"
-    sf_dir = f"/root/testdata/{sf}"
+    sf = args.pop(0) if args and args[0].startswith(("sf", "/")) else "sf0.01"
+    sf_dir = sf if sf.startswith("/") else f"/root/testdata/{sf}"
     spark = build_session(
         master="local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     )

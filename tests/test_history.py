@@ -284,3 +284,17 @@ def test_sale_date_and_cost_changes(spark, store):
     load(store, source)
     incremental_load(store, source.but(sales=[sale(1, cost=200), sale(2)]), None, 2, T2, "inc")
     assert rows(store.star("fact_sales"), "sale_key", "sale_id", "total_in_rubbles") == [(2, 2, 100), (3, 1, 200)]
+
+
+def test_repeated_source_key_fails_both_loads(spark, store):
+    source = MemorySource(spark)
+    twice = source.but(users=[user(1), user(1, "Y"), user(2)])
+    with pytest.raises(ValueError, match="repeated source keys in users"):
+        full_load(store, twice, None, T1, "twice")
+    load(store, source)
+    with pytest.raises(Exception, match="repeated source key user_id"):
+        incremental_load(store, twice, None, 2, T2, "inc")
+    traffic = source.but(user_traffic=[referral(1), referral(1, campaign="B")])
+    with pytest.raises(ValueError, match="repeated source keys in user_traffic"):
+        incremental_load(store, traffic, None, 2, T2, "inc")
+    assert store.history("users").count() == 2
