@@ -1,7 +1,8 @@
 """Command surface.
 
-    spark-submit -m chronostar full --source DIR --extract CSV --warehouse DIR
-    spark-submit -m chronostar inc 20240202 --source DIR --extract CSV --warehouse DIR
+    python -m chronostar full --source DIR --extract CSV --warehouse DIR
+    python -m chronostar inc 20240202 --source DIR --extract CSV --warehouse DIR
+    python -m chronostar clear warehouse --warehouse DIR
 """
 
 from __future__ import annotations
@@ -29,12 +30,18 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--run-id", help="unique name of the run; repeating it is a no-op")
         sub.add_argument("--key-mode", choices=(AS_LOADED, CURRENT), default=AS_LOADED)
         sub.add_argument("--unknown-members", action="store_true")
+    clear = commands.add_parser("clear", help="empty a layer")
+    clear.add_argument("layer", choices=("warehouse", "star_schema"))
+    clear.add_argument("--warehouse", required=True)
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session()
+    if args.command == "clear":
+        Warehouse(spark, args.warehouse).reset_layer(args.layer)
+        return
     now = datetime.now(timezone.utc)
     source = JdbcSource(spark, args.source) if args.source.startswith("jdbc:") else ParquetSource(spark, args.source)
     options = {

@@ -19,7 +19,7 @@ from chronostar.plans import reports
 from chronostar.plans.entities import ENROLLMENTS, ENTITIES, USER_TRAFFIC, USERS, Entity
 from chronostar.plans.jobs import row_counts
 from chronostar.schemas import HISTORY, SOURCE, STAR, Col, Table, timestamp
-from chronostar.session import stage_path
+from chronostar.session import stage, stage_path
 from chronostar.streaming.arrivals import fold_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,21 +194,27 @@ def dim_date_day_count(env: Lab) -> DataFrame:
     return span.select("first", "last", (F.datediff("last", "first") + 1).alias("days"))
 
 
+def _latest(referrals: DataFrame, by: str = "user_sk", keep: str = "traffic_source_sk") -> DataFrame:
+    return stage(star.latest_traffic(referrals, by, keep), "latest")
+
+
 @query("fact_sales")
 def fact_sales(env: Lab) -> DataFrame:
     h = env.loaded.history
-    return star.fact_as_loaded(h("sales"), h("enrollments"), h("user_traffic"), env.loaded.star("dim_date"))
+    return star.fact_as_loaded(h("sales"), h("enrollments"), _latest(h("user_traffic")), env.loaded.star("dim_date"))
 
 
 @query("fact_sales_rebuild")
 def fact_sales_rebuild(env: Lab) -> DataFrame:
     h = env.merged.history
-    return star.fact_as_loaded(h("sales"), h("enrollments"), h("user_traffic"), env.merged.star("dim_date"), True)
+    latest = _latest(h("user_traffic"))
+    return star.fact_as_loaded(h("sales"), h("enrollments"), latest, env.merged.star("dim_date"), True)
 
 
 @query("fact_sales_current_keys")
 def fact_sales_current_keys(env: Lab) -> DataFrame:
-    return star.fact_current({t: env.merged.stored(t) for t in ENTITIES}, env.merged.star("dim_date"))
+    tables = {t: env.merged.stored(t) for t in ENTITIES}
+    return star.fact_current(tables, _latest(tables["user_traffic"], "user_id", "source_id"), env.merged.star("dim_date"))
 
 
 @query("latest_traffic_per_user")
@@ -269,7 +275,7 @@ def join_composite_key(env: Lab) -> DataFrame:
 
 @query("join_left_default")
 def join_left_default(env: Lab) -> DataFrame:
-    latest = star.latest_traffic(env.loaded.current("user_traffic"), "user_sk", "traffic_source_sk")
+    latest = _latest(env.loaded.current("user_traffic"))
     enrollments = env.loaded.current("enrollments").select("enrollment_sk", "user_sk")
     return enrollments.join(latest, "user_sk", "left").select(
         "enrollment_sk", F.coalesce("traffic_source_sk", F.lit(-1).cast("long")).alias("traffic_source_key")

@@ -120,7 +120,7 @@ def _pair(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:
     # skew; a left join from the versions and an anti join can, as long as the
     # shuffled sides go straight into the join (so no check on the way there).
     seen = w.join(s, on, "left").select("s", "w")
-    unseen = s.join(w.select(*[f"_w_{k}" for k in entity.key]), on, "left_anti").select(
+    unseen = s.join(w.select(*[f"_w_{k}" for k in entity.key]).distinct(), on, "left_anti").select(
         "s", F.lit(None).cast(seen.schema["w"].dataType).alias("w")
     )
     return seen.unionByName(unseen)

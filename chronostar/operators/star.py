@@ -188,12 +188,16 @@ def _fact_columns(rows: DataFrame, **keys: Column) -> DataFrame:
 def fact_as_loaded(
     sales: DataFrame,
     enrollments: DataFrame,
-    user_traffic: DataFrame,
+    latest: DataFrame,
     dim_date: DataFrame,
     active_enrollments_only: bool = False,
 ) -> DataFrame:
     """Sales with the surrogate keys their versions were loaded with.
 
+    ``latest`` is the written result of ``latest_traffic``; computed in place, the
+    aggregate would sit between shuffle and join and keep a user with very many
+    sales from being split.
+
     A sale of an enrollment version that has since ended drops out when
     ``active_enrollments_only`` is set (the incremental rebuild); sales outside
     the calendar always do.
@@ -203,7 +207,7 @@ def fact_as_loaded(
         active(sales)
         .withColumn("date", F.col("sale_date").cast("date"))
         .join(e.select("enrollment_sk", "user_sk", "course_sk"), "enrollment_sk")
-        .join(latest_traffic(user_traffic, "user_sk", "traffic_source_sk"), "user_sk", "left")
+        .join(latest.select("user_sk", "traffic_source_sk"), "user_sk", "left")
         .join(dim_date.select("date", "date_key"), "date")
     )
     return _fact_columns(
@@ -215,25 +219,25 @@ def fact_as_loaded(
     )
 
 
-def fact_current(tables: dict[str, DataFrame], dim_date: DataFrame) -> DataFrame:
+def fact_current(tables: dict[str, DataFrame], latest: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Sales with the keys of the versions open now, found through the business keys.
 
     Nothing drops out because a parent was re-versioned; a parent without an open
     version (a deleted user) becomes the unknown member. Needs the stored tables,
-    whose rows carry the parents' business keys.
+    whose rows carry the parents' business keys, and the written result of
+    ``latest_traffic`` by ``user_id``.
     """
 
     def keys(table: str, natural: str, sk: str) -> DataFrame:
         return active(tables[table]).select(natural, sk)
 
-    traffic = latest_traffic(tables["user_traffic"], "user_id", "source_id")
     rows = (
         active(tables["sales"])
         .select("sale_sk", "sale_id", "enrollment_id", "manager_id", "sale_date", "cost_in_rubbles")
         .withColumn("date", F.col("sale_date").cast("date"))
         .join(active(tables["enrollments"]).select("enrollment_id", "user_id", "course_id"), "enrollment_id")
         .join(keys("users", "user_id", "user_sk"), "user_id", "left")
-        .join(traffic, "user_id", "left")
+        .join(latest.select("user_id", "source_id"), "user_id", "left")
         .join(keys("courses", "course_id", "course_sk"), "course_id", "left")
         .join(keys("sales_managers", "manager_id", "sales_manager_sk"), "manager_id", "left")
         .join(keys("traffic_sources", "source_id", "traffic_source_sk"), "source_id", "left")

@@ -51,29 +51,40 @@ def merge_extract(
     referral of a deleted user can be closed without a successor.
     """
     entity = USER_TRAFFIC
-    keyed = extract.join(users.select("user_id", "user_sk"), "user_id", "left").join(
-        sources.select("source_id", "traffic_source_sk"), "source_id", "left"
+
+    # Intermediate tables are written: each then meets the next join as a plain
+    # scan of known size, so it is broadcast if small, and a key that repeats on
+    # the other side is split (an aggregate between shuffle and join prevents that).
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name, f"{path}/{name}" if path else None)
+
+    keyed = written(
+        extract.join(users.select("user_id", "user_sk"), "user_id", "left").join(
+            sources.select("source_id", "traffic_source_sk"), "source_id", "left"
+        ),
+        "keyed",
     )
     insertable = F.col("user_sk").isNotNull() & F.col("traffic_source_sk").isNotNull()
-    # Only keys of the extract matter: a small extract is broadcast and the open
-    # referrals are filtered where they lie, a big one meets them in one shuffle.
-    met = active.select(*KEY, entity.sk, "campaign_code").join(extract.select(*KEY), KEY, "left_semi")
+    keys = written(keyed.select(*KEY).distinct(), "keys")
+    met = active.select(*KEY, entity.sk, "campaign_code").join(keys, KEY, "left_semi")
     known = _first(met, ("campaign_code",), entity.sk, "_known")
-    rows = keyed.join(known, KEY, "left")
+    # Of an unknown key the first inserted row is open from here on and stands for it.
+    first_new = _first(keyed.filter(insertable), ("campaign_code",), SEQ, "_first_new")
+    standing = written(first_new.join(known, KEY, "full_outer"), "standing")
+    rows = keyed.join(standing, KEY, "left")
 
     inserted = rows.filter(F.col("_known").isNull() & insertable)
-    # Inserted rows are open from here on; the first one stands for its key.
-    first_new = _first(inserted, ("campaign_code",), SEQ, "_first_new")
-    standing = rows.join(first_new, KEY, "left").withColumn("_known", F.coalesce("_known", "_first_new"))
-    differs = differs_null_as_empty(F.col("campaign_code"), F.col("_known.campaign_code"))
-    acting = _first(
-        standing.filter(F.col("_known").isNotNull() & differs),
-        ("campaign_code", "user_sk", "traffic_source_sk", SEQ),
-        SEQ,
-        "_act",
+    campaign = F.coalesce("_known", "_first_new")
+    differs = differs_null_as_empty(F.col("campaign_code"), campaign["campaign_code"])
+    acting = written(
+        _first(
+            rows.filter(campaign.isNotNull() & differs),
+            ("campaign_code", "user_sk", "traffic_source_sk", SEQ),
+            SEQ,
+            "_act",
+        ),
+        "acting",
     )
-    # Written, so that its real size decides how it meets the open referrals.
-    acting = stage(acting, "acting", path)
     hits = acting.select(*KEY, F.lit(True).alias("_hit"))
 
     # Referrals open before this extract: closed where a row acts on their key.
@@ -105,7 +116,8 @@ def partial_key_matches(source: DataFrame, active: DataFrame) -> DataFrame:
     """
     campaign = F.coalesce("campaign_code", F.lit(""))
     per_campaign = active.groupBy("referred_at", campaign.alias("_campaign")).agg(F.count(F.lit(1)).alias("_same"))
-    per_instant = per_campaign.groupBy("referred_at").agg(F.sum("_same").alias("_all"))
+    per_campaign = stage(per_campaign, "per-campaign")  # so that a crowded instant of the source is split
+    per_instant = stage(per_campaign.groupBy("referred_at").agg(F.sum("_same").alias("_all")), "per-instant")
     counted = (
         source.withColumn("_campaign", campaign)
         .join(per_instant, "referred_at")

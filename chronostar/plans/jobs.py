@@ -20,12 +20,14 @@ from chronostar.operators.star import (
     extend_calendar,
     fact_as_loaded,
     fact_current,
+    latest_traffic,
     overall_bounds,
     with_unknown_member,
 )
 from chronostar.operators.traffic import KEY, PASS, SEQ, merge_extract
 from chronostar.plans.entities import ENTITIES, PARENTS, USER_TRAFFIC, Batch, Entity
 from chronostar.schemas import CSV_AUDIT, HISTORY, STAR
+from chronostar.session import stage
 from chronostar.sources.warehouse import Run, Warehouse
 
 AS_LOADED, CURRENT = "as_loaded", "current"
@@ -205,19 +207,20 @@ def _write_star(
 
 
 def _write_fact(run: Run, key_mode: str, active_enrollments_only: bool) -> None:
-    if key_mode == CURRENT:
-        fact = fact_current({t: run.current(t) for t in ENTITIES}, run.star("dim_date"))
-    else:
-        # An open sale may refer to an enrollment version that ended: the full
-        # build keeps such sales, and right after a full load nothing has ended.
-        fact = fact_as_loaded(
-            run.current("sales"),
-            run.current("enrollments"),
-            run.current("user_traffic"),
-            run.star("dim_date"),
-            active_enrollments_only,
-        )
-    run.write_star("fact_sales", fact)
+    days, referrals = run.star("dim_date"), run.current("user_traffic")
+    with run.scratch("latest") as scratch:
+        if key_mode == CURRENT:
+            latest = stage(latest_traffic(referrals, "user_id", "source_id"), "latest", scratch)
+            fact = fact_current({t: run.current(t) for t in ENTITIES}, latest, days)
+        else:
+            # An open sale may refer to an enrollment version that ended: the full
+            # build keeps such sales, and right after a full load nothing has ended.
+            latest = stage(latest_traffic(referrals, "user_sk", "traffic_source_sk"), "latest", scratch)
+            fact = fact_as_loaded(
+                run.current("sales"), run.current("enrollments"), latest, days, active_enrollments_only
+            )
+        # Sorted within each file: date ranges then skip row groups and pages, without another shuffle.
+        run.write_star("fact_sales", fact.sortWithinPartitions("date_key"))
 
 
 def row_counts(store: Warehouse) -> DataFrame:

@@ -36,13 +36,27 @@ class ParquetSource:
     def table(self, name: str) -> DataFrame:
         return conform(self.spark.read.parquet(f"{self.root}/{name}"), SOURCE[name].schema)
 
+    def create_missing(self) -> None:
+        """Write every declared table that does not exist as an empty dataset."""
+        self._write_empty("ignore")
+
+    def clear(self) -> None:
+        """Empty every declared table."""
+        self._write_empty("overwrite")
+
+    def _write_empty(self, mode: str) -> None:
+        for name, table in SOURCE.items():
+            self.spark.createDataFrame([], table.schema).write.mode(mode).parquet(f"{self.root}/{name}")
+
 
 @dataclass
 class JdbcSource:
-    """Operational tables read over JDBC, in parallel key ranges.
+    """Operational tables read over JDBC by many tasks.
 
-    ``bounds`` gives ``(lower, upper)`` of each table's first key column; a table
-    without bounds is read by one task, so list every table that may grow.
+    Tables with a unique numeric key are read in ranges of it; ``bounds`` gives
+    ``(lower, upper)`` where the database should not be asked for them.
+    Referrals have no such key and one user may own very many, so they are spread
+    by user, source and second together.
     """
 
     spark: SparkSession
@@ -52,21 +66,43 @@ class JdbcSource:
     bounds: dict[str, tuple[int, int]] = field(default_factory=dict)
     options: dict[str, str] = field(default_factory=dict)
 
-    def read_options(self, name: str) -> dict[str, str]:
-        opts = {"url": self.url, "dbtable": f"{self.schema}.{name}", "preferTimestampNTZ": "true", **self.options}
+    def _reader(self, **extra: str):
+        return self.spark.read.format("jdbc").options(
+            url=self.url, preferTimestampNTZ="true", **self.options, **extra
+        )
+
+    def range_options(self, name: str, low: int, high: int) -> dict[str, str]:
+        return {
+            "partitionColumn": SOURCE[name].columns[0].name,
+            "lowerBound": str(low),
+            "upperBound": str(high),
+            "numPartitions": str(self.partitions),
+        }
+
+    def _bounds(self, name: str) -> tuple[int, int] | None:
         if name in self.bounds:
-            low, high = self.bounds[name]
-            opts |= {
-                "partitionColumn": SOURCE[name].columns[0].name,
-                "lowerBound": str(low),
-                "upperBound": str(high),
-                "numPartitions": str(self.partitions),
-            }
-        return opts
+            return self.bounds[name]
+        key = SOURCE[name].columns[0].name
+        query = f"SELECT min({key}) AS low, max({key}) AS high FROM {self.schema}.{name}"
+        row = self._reader(query=query).load().first()
+        return None if row.low is None else (row.low, row.high)
+
+    def spread(self, name: str) -> list[str]:
+        """One condition per task that together cover every row once."""
+        mix = "CAST(EXTRACT(EPOCH FROM referred_at) AS BIGINT) + user_id + source_id"
+        n = self.partitions
+        return [f"MOD(MOD({mix}, {n}) + {n}, {n}) = {i}" for i in range(n)]
 
     def table(self, name: str) -> DataFrame:
-        reader = self.spark.read.format("jdbc").options(**self.read_options(name))
-        return conform(reader.load(), SOURCE[name].schema)
+        qualified = f"{self.schema}.{name}"
+        if name == "user_traffic":
+            properties = {"preferTimestampNTZ": "true", **self.options}
+            rows = self.spark.read.jdbc(self.url, qualified, predicates=self.spread(name), properties=properties)
+        else:
+            bounds = self._bounds(name)
+            ranges = self.range_options(name, *bounds) if bounds else {}
+            rows = self._reader(dbtable=qualified, **ranges).load()
+        return conform(rows, SOURCE[name].schema)
 
 
 def clean_extract(df: DataFrame) -> DataFrame:

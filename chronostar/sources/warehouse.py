@@ -124,6 +124,10 @@ class Warehouse:
     def table(self, layer: str, name: str) -> DataFrame:
         return self.history(name) if layer == "warehouse" else self.star(name)
 
+    def sample(self, layer: str, name: str, limit: int = 5) -> DataFrame:
+        """Some rows of a table."""
+        return self.table(layer, name).limit(limit)
+
     # --- layer operations -----------------------------------------------------
 
     def reset_layer(self, layer: str, restart_keys: bool = True) -> None:

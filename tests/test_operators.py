@@ -121,7 +121,8 @@ def test_sales_outside_the_calendar_drop(spark):
     )
     s = sales(spark, "2023-12-31", "2024-01-10", "2024-01-16")
     s = s.withColumn("enrollment_sk", F.col("sale_sk"))
-    fact = star.fact_as_loaded(s, enrollments, traffic(spark), star.calendar(span(spark, "2024-01-01", "2024-01-15")))
+    latest = star.latest_traffic(traffic(spark))
+    fact = star.fact_as_loaded(s, enrollments, latest, star.calendar(span(spark, "2024-01-01", "2024-01-15")))
     assert rows(fact, "sale_id", "traffic_source_key", "date_key") == [(1, -1, 20240110)]
 
 

@@ -1,5 +1,6 @@
 """Extract files, arriving files, source options, command line."""
 
+import duckdb
 import pytest
 from support import MemorySource, at, referral, rows
 from test_history import T1, load
@@ -95,17 +96,35 @@ def test_repeated_micro_batch_is_ignored(spark, store, tmp_path):
 
 
 def test_jdbc_reads_in_key_ranges(spark):
-    source = JdbcSource(spark, "jdbc:postgresql://db/x", partitions=8, bounds={"sales": (1, 1000)})
-    assert source.read_options("sales") == {
-        "url": "jdbc:postgresql://db/x",
-        "dbtable": "source.sales",
-        "preferTimestampNTZ": "true",
+    source = JdbcSource(spark, "jdbc:postgresql://db/x", partitions=8)
+    assert source.range_options("sales", 1, 1000) == {
         "partitionColumn": "sale_id",
         "lowerBound": "1",
         "upperBound": "1000",
         "numPartitions": "8",
     }
-    assert "partitionColumn" not in source.read_options("users")
+
+
+def test_jdbc_spreads_one_users_referrals(spark):
+    """The conditions cover every row once, also before 1970, and split a single user."""
+    source = JdbcSource(spark, "jdbc:postgresql://db/x", partitions=4)
+    data = (
+        "SELECT 7 AS user_id, 1 AS source_id, TIMESTAMP '1970-01-01' + to_seconds((i - 500) * 61) AS referred_at "
+        "FROM range(1000) t(i)"
+    )
+    sizes = [
+        duckdb.sql(f"SELECT count(*) FROM ({data}) x WHERE {c}").fetchall()[0][0] for c in source.spread("user_traffic")
+    ]
+    assert sum(sizes) == 1000 and max(sizes) < 300
+
+
+def test_empty_operational_tables(spark, tmp_path):
+    source = ParquetSource(spark, str(tmp_path))
+    MemorySource(spark).table("users").write.parquet(str(tmp_path / "users"))
+    source.create_missing()
+    assert source.table("users").count() == 2 and source.table("sales").count() == 0
+    source.clear()
+    assert source.table("users").count() == 0
 
 
 def test_command_line_runs_both_loads(spark, tmp_path, monkeypatch):
@@ -120,7 +139,9 @@ def test_command_line_runs_both_loads(spark, tmp_path, monkeypatch):
     main(["inc", "20240202", *common])
     store = Warehouse(spark, str(tmp_path / "w"))
     assert rows(store.star("fact_sales"), "sale_id", "traffic_source_key") == [(1, 1), (2, 2)]
-    assert ParquetSource(spark, str(tmp_path / "source")).table("users").count() == 2
+    assert store.sample("star_schema", "dim_user", 1).count() == 1
+    main(["clear", "star_schema", "--warehouse", str(tmp_path / "w")])
+    assert store.star("fact_sales").count() == 0 and store.history("users").count() == 2
 
 
 def test_command_line_needs_a_batch_number():
