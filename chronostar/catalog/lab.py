@@ -12,10 +12,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronostar.operators.keys import assign_keys
+from chronostar.operators.keys import active, assign_keys
 from chronostar.operators.scd2 import CLOSED, KEPT, OPENED, STATE, TIE, merge_rows
-from chronostar.operators.traffic import merge_extract
-from chronostar.plans.entities import ENTITIES, USER_TRAFFIC, Batch, Entity
+from chronostar.operators.traffic import KEY, PASS, SEQ, merge_extract
+from chronostar.plans.entities import USER_TRAFFIC, Batch, Entity
 from chronostar.plans.jobs import full_load, incremental_load, source_rows
 from chronostar.schemas import CSV_AUDIT
 from chronostar.session import stage, staging_root, tune
@@ -81,8 +81,6 @@ class Lab:
         return stage(history, "referrals"), last
 
     def extract_rows(self) -> DataFrame:
-        from chronostar.operators.keys import active
-
         return merge_extract(
             self.second.extract(),
             active(self.referrals[0]),
@@ -92,8 +90,6 @@ class Lab:
         )
 
     def merge_extract(self) -> DataFrame:
-        from chronostar.operators.traffic import KEY, PASS, SEQ
-
         history, last = self.referrals
         merged, _ = self._numbered(USER_TRAFFIC, self.extract_rows(), (PASS, *KEY, SEQ), last)
         return merged.unionByName(history.filter("end_date < TIMESTAMP_NTZ '9999-12-31 00:00:00'"))
@@ -107,6 +103,3 @@ def lab(spark: SparkSession, sf_dir: str) -> Lab:
     if key not in _labs:
         _labs[key] = Lab(spark, sf_dir)
     return _labs[key]
-
-
-ENTITY_NAMES = tuple(ENTITIES)

@@ -323,7 +323,8 @@ VIEWS["h2_user_traffic"] = _merged(
 DIMENSION_SQL = {
     "dim_user": (
         "users",
-        "user_sk AS user_key, user_id, first_name, last_name, email, CAST(registered_at AS DATE) AS signup_date, country",
+        "user_sk AS user_key, user_id, first_name, last_name, email, "
+        "CAST(registered_at AS DATE) AS signup_date, country",
     ),
     "dim_course": (
         "courses",
@@ -441,7 +442,8 @@ def _checks(name: str, generation: str, tables: dict, parents: str) -> list[str]
             f"CAST(({count}) AS BIGINT) AS violations"
         )
 
-    out = [one("not_null", c.name, f"SELECT count(*) FROM {src} WHERE {c.name} IS NULL") for c in table.columns if c.required]
+    required = [c.name for c in table.columns if c.required]
+    out = [one("not_null", c, f"SELECT count(*) FROM {src} WHERE {c} IS NULL") for c in required]
     out += [
         one("max_length", c.name, f"SELECT count(*) FROM {src} WHERE length({c.name}) > {c.length}")
         for c in table.columns
@@ -525,7 +527,8 @@ SELECT * FROM d2_{d} WHERE {dim_key} IN ({touched})"""
        (SELECT CAST(min(sale_date) AS DATE) AS a, CAST(max(sale_date) AS DATE) AS b FROM h2_sales
          WHERE insert_id = {BATCH} AND end_date = {OPEN}) n"""
     )
-    sql["dim_date_day_count"] = "SELECT first, last, CAST(date_diff('day', first, last) + 1 AS INTEGER) AS days FROM span"
+    sql["dim_date_day_count"] = """
+SELECT first, last, CAST(date_diff('day', first, last) + 1 AS INTEGER) AS days FROM span"""
     sql["fact_sales"] = "SELECT * FROM f1"
     sql["fact_sales_rebuild"] = "SELECT * FROM f2"
     sql["fact_sales_current_keys"] = f"""

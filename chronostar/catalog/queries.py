@@ -214,7 +214,8 @@ def fact_sales_rebuild(env: Lab) -> DataFrame:
 @query("fact_sales_current_keys")
 def fact_sales_current_keys(env: Lab) -> DataFrame:
     tables = {t: env.merged.stored(t) for t in ENTITIES}
-    return star.fact_current(tables, _latest(tables["user_traffic"], "user_id", "source_id"), env.merged.star("dim_date"))
+    latest = _latest(tables["user_traffic"], "user_id", "source_id")
+    return star.fact_current(tables, latest, env.merged.star("dim_date"))
 
 
 @query("latest_traffic_per_user")

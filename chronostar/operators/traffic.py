@@ -102,9 +102,7 @@ def merge_extract(
 
     fresh = inserted.join(hits, KEY, "left").withColumn("_end", F.coalesce("_hit", F.lit(False)))
     successor = acting.select(*KEY, "_act.*").filter(insertable).withColumn("_end", F.lit(False))
-    return (
-        opened(fresh, 0).unionByName(opened(successor, 1)).unionByName(before, allowMissingColumns=True)
-    )
+    return opened(fresh, 0).unionByName(opened(successor, 1)).unionByName(before, allowMissingColumns=True)
 
 
 def partial_key_matches(source: DataFrame, active: DataFrame) -> DataFrame:

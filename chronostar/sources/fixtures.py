@@ -43,7 +43,8 @@ class FixtureSource:
 
     def _categories(self) -> DataFrame:
         types = self._read("part").select("p_type").distinct()
-        return types.select(F.row_number().over(W.orderBy("p_type")).alias("category_id"), F.col("p_type").alias("name"))
+        number = F.row_number().over(W.orderBy("p_type")).alias("category_id")
+        return types.select(number, F.col("p_type").alias("name"))
 
     def _subcategories(self) -> DataFrame:
         pairs = self._read("part").select("p_type", "p_brand").distinct()

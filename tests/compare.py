@@ -77,7 +77,8 @@ def main() -> None:
     sf = args.pop(0) if args and args[0].startswith(("sf", "/")) else "sf0.01"
     sf_dir = sf if sf.startswith("/") else f"/root/testdata/{sf}"
     spark = build_session(
-        master="local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+        master="local[8]",
+        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles = connect(sf_dir), entry.oracle_sql()

@@ -214,7 +214,10 @@ def test_merge_equals_its_single_steps(spark, store):
 
 def test_mismatched_subcategory_is_kept(spark):
     source = MemorySource(
-        spark, courses=[course(1, category=2, subcategory=1)], categories=[(1, "A"), (2, "B")], subcategories=[(1, 1, "S")]
+        spark,
+        courses=[course(1, category=2, subcategory=1)],
+        categories=[(1, "A"), (2, "B")],
+        subcategories=[(1, 1, "S")],
     )
     assert rows(source_rows(source, COURSES, {}), "category", "sub_category") == [("B", "S")]
 

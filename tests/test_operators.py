@@ -226,9 +226,8 @@ def test_declared_rules_find_each_violation(spark):
         (2, None, "l", "u1@example.com", "p" * 21, "X", at("2020-01-01")),
         (2, "f", "l", "e", None, "X", at("2020-01-01")),
     ]
-    report = {
-        r.rule: r.violations for r in quality.check_table(frame(spark, data, SOURCE["users"].schema), SOURCE["users"]).collect()
-    }
+    users = SOURCE["users"]
+    report = {r.rule: r.violations for r in quality.check_table(frame(spark, data, users.schema), users).collect()}
     found = {rule for rule, n in report.items() if n}
     assert found == {"not_null:first_name", "max_length:phone", "unique:user_id", "unique:email"}
 
