@@ -49,7 +49,7 @@ def map_texts(
 
     def run(batches):
         step = work()
-        names = [f.strip().split()[0] for f in schema.split(",")]
+        names = types.names
         for batch in batches:
             for part in slices(batch, "_text", limit):
                 out = step(part.column("_key").to_pylist(), [x or "" for x in part.column("_text").to_pylist()])

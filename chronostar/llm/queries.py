@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronostar.llm import bpe, token_counts
+from chronostar.llm import bpe, decontamination, hilbert, quality, token_counts
 
+SHARDS = 40
 #: Tokens above which a document counts as too long.
 TOKEN_LIMIT = 4096
 
@@ -17,17 +19,44 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontamination.find_contamination(docs, benchmark)
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long"),
+        F.col("n_hit").cast("long"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), TOKEN_LIMIT)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op3_token_counts, op8_bpe]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_decontamination,
+    op3_token_counts,
+    op4_quality,
+    op7_hilbert,
+    op8_bpe,
+]
 
 ORACLE_SQL: dict[str, str] = {}
 
