@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _ship(context: object) -> None:
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    file = os.path.join(tempfile.mkdtemp(prefix="chronostar-"), "chronostar.zip")
+    with zipfile.ZipFile(file, "w") as z:
+        for folder, _, names in os.walk(os.path.join(top, "chronostar")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, top))
+    context.addPyFile(file)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session: tasks that run Python import it there."""
+    _ship(spark.sparkContext)
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="chronostar-")
