@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostar.llm import bpe, decontamination, hilbert, quality, token_counts
+from chronostar.llm import bpe, decontamination, hilbert, html_text, quality, token_counts
 
 SHARDS = 40
 #: Tokens above which a document counts as too long.
@@ -50,12 +50,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_decontamination,
     op3_token_counts,
     op4_quality,
     op7_hilbert,
     op8_bpe,
+    op10_main_text,
 ]
 
 ORACLE_SQL: dict[str, str] = {}
