@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostar.llm import bpe, decontamination, hilbert, html_text, quality, token_counts
+from chronostar.llm import ann, bpe, decontamination, hilbert, html_text, quality, token_counts
 
 SHARDS = 40
 #: Tokens above which a document counts as too long.
@@ -32,6 +32,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), TOKEN_LIMIT)
@@ -56,6 +61,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_decontamination,
+    op2_neighbours,
     op3_token_counts,
     op4_quality,
     op7_hilbert,
