@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronostar.llm.common import hash_sample
 from chronostar.session import stage
 
-#: Vectors that the centres are fitted on, at most, in the order of a hash of their id.
+#: Vectors that the centres are fitted on, about, drawn by a hash of their id.
 SAMPLE_ROWS = 20_000
 #: Vectors, and visits of queries, in one part of a list.
 PART_ROWS, PART_VISITS = 8192, 1024
@@ -95,7 +96,9 @@ def fit(vectors: DataFrame, k: int) -> ListModel | None:
     count, norm = vectors.agg(F.count("*"), F.max(F.sqrt(squares))).first()
     if not count:
         return None
-    drawn = vectors.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_ROWS).toArrow()
+    drawn = hash_sample(vectors, ["_id"], SAMPLE_ROWS, count).select("_id", "_vector").toArrow()
+    if not drawn.num_rows:  # so few vectors that none was drawn
+        drawn = vectors.select("_id", "_vector").limit(SAMPLE_ROWS).toArrow()
     ids, at = np.unique(drawn.column("_id").to_numpy(), return_index=True)
     sample = _matrix(drawn.column("_vector").combine_chunks())[at]
     random = np.random.default_rng(7)

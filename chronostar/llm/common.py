@@ -64,3 +64,10 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(spark.createDataFrame([], schema).schema)
+
+
+def hash_sample(df: DataFrame, keys: list[str], rows: int, count: int) -> DataFrame:
+    """About `rows` of `count` rows, twice as many at most, drawn by a hash of some columns: nothing
+    is sorted, and tasks send only the drawn rows."""
+    share = min(1.0, rows / max(1, count))
+    return df.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * rows)

@@ -21,10 +21,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronostar.llm.common import map_texts
+from chronostar.llm.common import hash_sample, map_texts
 
-#: Labelled pages that the weights are learnt from, at most, in the order of a hash of their id.
-SAMPLE_PAGES = 500
+#: Pages, about, drawn by a hash, among which the labelled ones give the weights.
+SAMPLE_PAGES = 1000
 #: Longer pages are not taken into that sample; they are extracted like all others.
 SAMPLE_CHARS = 1 << 16
 #: Least gain of a word and cost of a tag, so that short blocks beside the region join it.
@@ -186,9 +186,11 @@ def main_text(page: str, weights: Weights) -> str:
 
 
 def fit(pages: DataFrame, key: str = "page_id", text: str = "html") -> Weights:
-    """Weights from a bounded sample of the pages that have a content element."""
-    labelled = pages.filter(F.col(text).rlike(r"(?i)<(article|main)[\s>]") & (F.length(text) <= SAMPLE_CHARS))
-    rows = labelled.orderBy(F.xxhash64(F.col(key)), F.length(text), text).select(text).limit(SAMPLE_PAGES).collect()
+    """Weights from the pages of a bounded sample that have a content element."""
+    drawn = hash_sample(pages, [key, text], SAMPLE_PAGES, pages.count())
+    labelled = F.col(text).rlike(r"(?i)<(article|main)[\s>]") & (F.length(text) <= SAMPLE_CHARS)
+    rows = drawn.select(F.when(labelled, F.col(text)).alias("page")).filter("page is not null").collect()
+    rows.sort()
     return learn(r[0] for r in rows)
 
 
