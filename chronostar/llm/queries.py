@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostar.llm import ann, bpe, decontamination, hilbert, html_text, quality, token_counts, warc
+from chronostar.llm import ann, bpe, decontamination, hilbert, html_text, jaccard_join, quality, token_counts, warc
 
 SHARDS = 40
 #: Tokens above which a document counts as too long.
@@ -46,6 +46,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -68,6 +72,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op2_neighbours,
     op3_token_counts,
     op4_quality,
+    op5_jaccard_join,
     op6_warc,
     op7_hilbert,
     op8_bpe,
