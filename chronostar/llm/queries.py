@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostar.llm import ann, bpe, decontamination, hilbert, html_text, jaccard_join, quality, token_counts, warc
+from chronostar.llm import ann, bpe, decontamination, hilbert, html_text, jaccard_join, language_model, quality, token_counts, warc
 
 SHARDS = 40
 #: Tokens above which a document counts as too long.
@@ -63,6 +63,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -76,6 +80,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op6_warc,
     op7_hilbert,
     op8_bpe,
+    op9_language_model,
     op10_main_text,
 ]
 
