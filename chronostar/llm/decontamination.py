@@ -153,7 +153,7 @@ def find_contamination(
             F.flatten(F.collect_list("spans")).alias("spans"),  # one entry a pass
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         )
-        merge = F.udf(merge_spans, f"array<{_SPAN}>")
+        merge = F.udf(lambda spans: merge_spans([s.asDict() for s in spans]), f"array<{_SPAN}>")
         found = found.withColumn("spans", F.when(F.size("spans") > 0, merge("spans")).otherwise(F.col("spans")))
         found = found.join(several.select(F.col("_row").alias("key"), F.col(key).alias("_key")), "key")
         found = found.drop("key").withColumnRenamed("_key", "key")

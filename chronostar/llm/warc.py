@@ -261,10 +261,10 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
     entries = splits.join(reached, "_file").filter(inside)  # entries of a file are as few as its splits
     plan = splits.join(
         entries.groupBy("_file", "_split").agg(F.min("_at").alias("_entry")), ["_file", "_split"], "left"
-    ).select("_file", "_split", "_base", "_bytes", "_entry")
+    ).select("_file", "_split", "_base", "_entry")
     plan = stage(plan, "warc-plan")
 
-    numbered = lines.withColumn("_n", F.monotonically_increasing_id())
+    numbered = lines.withColumns({"_n": F.monotonically_increasing_id(), "_size": F.col("_metadata.file_size")})
     if few:
         planned = numbered.join(F.broadcast(plan), ["_file", "_split"])
     else:
@@ -272,7 +272,7 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
         planned = planned.sortWithinPartitions("_file", "_split", "_n")
 
     def records(batches):
-        for (file, _, base, size, entry), data in _splits(batches, ["_base", "_bytes", "_entry"]):
+        for (file, _, base, size, entry), data in _splits(batches, ["_base", "_size", "_entry"]):
             rows = []
             # All before the entry belongs to a block that began in an earlier split.
             lead = data if entry is None else data[: entry - base]
@@ -282,6 +282,8 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
             for i in found.chain(entry - base) if entry is not None else []:
                 start, body, stop = found.start[i], found.body[i], found.stop[i]
                 row = {"_file": file, "_offset": base + start}
+                if base + stop > size:  # the file ends within the block
+                    continue
                 if stop <= len(data):
                     row |= _described(data[start : body - 4], data[body:stop], with_payload)
                 else:
@@ -312,11 +314,8 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
                 data = b"".join(x["_piece"] for x in r["_all"])
                 body = data.find(_END) + 4
                 stop = r["_missing"] - r["_offset"]
-                if len(data) >= stop:  # else the file ends within the block
-                    rows.append(
-                        {"_file": r["_file"], "_offset": r["_offset"]}
-                        | _described(data[: body - 4], data[body:stop], with_payload)
-                    )
+                own = {"_file": r["_file"], "_offset": r["_offset"]}
+                rows.append(own | _described(data[: body - 4], data[body:stop], with_payload))
             yield pa.RecordBatch.from_pylist(rows, schema=record_types)
 
     across = joined.mapInArrow(assemble, _RECORD).select("_file", "_offset", *public)
