@@ -11,27 +11,32 @@ from chronostar.session import stage
 def connected_components(edges: DataFrame) -> DataFrame:
     """vertex and label (the smallest vertex of its component) for an edge table (a, b).
 
-    Each round takes the smallest label among the neighbours and then the label's own label,
-    so long chains shrink by doubling. Rounds are written, not kept in the lineage. A vertex
-    with very many edges is the repeated side of a join that Spark splits, and minima are
-    pre-aggregated.
+    Each round every vertex joins the first of its neighbourhood in an order drawn anew, and the
+    edges are contracted to those between the joined ones, so they get fewer by a factor each
+    round and a star is done in one. Rounds are written, not kept in the lineage. A vertex with very
+    many edges is the repeated side of a join that Spark splits, and minima are pre-aggregated.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stage(both.filter("a != b").distinct(), "edges")
-    labels = both.groupBy("a").agg(F.min("b").alias("b"))
-    labels = stage(labels.select(F.col("a").alias("vertex"), F.least("a", "b").alias("label")), "labels")
+    edges = stage(edges.select("a", "b").filter("a != b").distinct(), "edges")
+    labels, number = None, 0
     while True:
-        own = labels.select(F.col("vertex").alias("b"), "label")
-        offered = both.join(own, "b").groupBy("a").agg(F.min("label").alias("offer"))
-        nearer = labels.join(offered, labels["vertex"] == offered["a"]).select(
-            "vertex", F.col("label").alias("old"), F.least("label", "offer").alias("label")
-        )
-        nearer = stage(nearer, "labels")
-        up = nearer.select(F.col("vertex").alias("label"), F.col("label").alias("above"))
-        following = nearer.join(up, "label").select(
-            "vertex", F.least("label", "above").alias("label"), (F.least("label", "above") != F.col("old")).alias("moved")
-        )
-        following = stage(following, "labels")
-        labels = following.select("vertex", "label")
-        if not following.filter("moved").take(1):
-            return labels
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+        def drawn(name: str, salt: int = number):
+            return F.struct(F.xxhash64(name, F.lit(salt)).alias("h"), F.col(name).alias("v"))
+
+        first = both.groupBy("a").agg(F.min(drawn("b")).alias("first"))
+        joined = stage(first.select(F.col("a").alias("vertex"), F.least("first", drawn("a"))["v"].alias("own")), "joined")
+        if labels is None:
+            labels = joined.withColumnRenamed("own", "label")
+        else:
+            labels = labels.join(joined.withColumnRenamed("vertex", "label"), "label", "left")
+            labels = stage(labels.select("vertex", F.coalesce("own", "label").alias("label")), "labels")
+        left = joined.select(F.col("vertex").alias("a"), F.col("own").alias("c"))
+        right = joined.select(F.col("vertex").alias("b"), F.col("own").alias("d"))
+        edges = edges.join(left, "a").join(right, "b").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
+        edges = stage(edges.filter("a != b").distinct(), "edges")
+        number += 1
+        if not edges.take(1):
+            break
+    heads = labels.groupBy("label").agg(F.min("vertex").alias("head"))
+    return stage(labels.join(heads, "label").select("vertex", F.col("head").alias("label")), "components")

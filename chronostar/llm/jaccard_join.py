@@ -35,10 +35,11 @@ TARGET_RECALL = 0.9999
 PLACES = 64
 #: Expected number of places that a node chooses.
 BRANCHES = 2.0
-#: Sets up to which a bucket is compared at once; larger ones are split, at most DEPTH times,
-#: and then cut into tiles of this size.
+#: Sets up to which a bucket is compared without being split further.
 SMALL = 128
+#: Splits at most; what is still larger is compared in tiles of so many sets a side.
 DEPTH = 3
+TILE_SETS = 1024
 FIRST_RUNS = 2
 #: Shingle bytes of one side of a tile in the exact comparison.
 TILE_BYTES = 2 << 20
@@ -260,9 +261,13 @@ def _compare_signatures(rows: DataFrame) -> DataFrame:
             for at in range(0, len(a), 65_536):
                 p, q = a[at : at + 65_536], b[at : at + 65_536]
                 kept[at : at + 65_536] = (sig[p] == sig[q]).mean(1) >= least
-            root = _links_to_roots(len(sig), a[kept], b[kept])
-            linked = np.flatnonzero(root != np.arange(len(root)))
+            # Roots are the smallest sets, so that buckets with like members give like edges.
             sets = table.column("set").combine_chunks()
+            order = np.argsort(np.array(sets.to_pylist(), dtype=object), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            root = order[_links_to_roots(len(order), place[a[kept]], place[b[kept]])][place]
+            linked = np.flatnonzero(root != np.arange(len(root)))
             yield pa.RecordBatch.from_arrays(
                 [sets.take(pa.array(root[linked])).cast(pa.binary()), sets.take(pa.array(linked)).cast(pa.binary())],
                 names=["a", "b"],
@@ -291,17 +296,16 @@ def _candidate_edges(sets: DataFrame, runs: list[int], labels: DataFrame | None)
         sizes = level.groupBy("node").agg(F.count("*").alias("size"), F.min(own).alias("low"), F.max(own).alias("high"))
         sizes = stage(sizes.filter("size > 1 and low != high").select("node", "size"), "sizes")
         last = depth == DEPTH
-        parts = F.ceil(F.col("size") / SMALL).cast("int")
-        live = level.join(_small(sizes), "node").withColumn("parts", F.when(F.col("size") <= SMALL, 1).otherwise(parts))
-        live = stage(live.drop("size"), "live")
+        live = level.join(_small(sizes), "node").withColumn("parts", F.ceil(F.col("size") / TILE_SETS).cast("int"))
+        live = stage(live.withColumn("large", F.col("size") > SMALL).drop("size"), "live")
         if not live.take(1):
             break
         signed = live.join(sets.select("set", "signature"), "set")
-        found = _compare_signatures(_tiled(signed if last else signed.filter("parts = 1"), "parts"))
+        found = _compare_signatures(_tiled(signed if last else signed.filter("not large"), "parts"))
         edges = found if edges is None else edges.union(found)
-        if last or not live.filter("parts > 1").take(1):
+        if last or not live.filter("large").take(1):
             break
-        level = _split(signed.filter("parts > 1").select("node", "set", "signature"))
+        level = _split(signed.filter("large").select("node", "set", "signature"))
     return edges
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from chronostar.llm import jaccard_join, queries
+from chronostar.llm.components import connected_components
 
 from .brute import near_duplicates, shingles, table
 from .conftest import SF
@@ -28,6 +29,7 @@ def test_query(spark):
 
 def test_split_buckets_and_tiles(docs, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    monkeypatch.setattr(jaccard_join, "TILE_SETS", 5)
     monkeypatch.setattr(jaccard_join, "TILE_BYTES", 6000)
     rnd = random.Random(5)
     rows = copies(rnd, [f"w{i}" for i in range(500)], 12, 25)
@@ -35,6 +37,25 @@ def test_split_buckets_and_tiles(docs, monkeypatch):
     assert sorted(map(tuple, jaccard_join.join(docs(rows)).collect())) == near_duplicates(rows)
 
 
+def test_components(spark):
+    rnd = random.Random(4)
+    pairs = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 180)] + [(300, 300)]
+    pairs += [(rnd.randrange(400, 500), rnd.randrange(400, 500)) for _ in range(40)]
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            x, y = sorted((top(a), top(b)))
+            parent[y] = x
+    got = connected_components(spark.createDataFrame(pairs, "a long, b long"))
+    assert {r.vertex: r.label for r in got.collect()} == {v: top(v) for v in list(parent)}
+
+
 def test_edges(docs):
     rows = [(1, "a b"), (1, "a b"), (None, "a b"), (None, "c d e f g h"), (5, None)]
     got = sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in jaccard_join.join(docs(rows)).collect())
