@@ -21,24 +21,39 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
     full = commands.add_parser("full", help="rebuild everything")
     inc = commands.add_parser("inc", help="merge one batch")
-    inc.add_argument("batch_id", type=int)
+    inc.add_argument("batch_id", type=int, nargs="?", help="number of the batch; default the day's, as YYYYMMDD")
     for sub in (full, inc):
         sub.add_argument("--source", required=True, help="folder of Parquet tables, or a JDBC URL")
         sub.add_argument("--extract", help="CSV file or folder with referrals")
         sub.add_argument("--warehouse", required=True, help="folder shared by all executors")
         sub.add_argument("--batch-ts", help="timestamp of the batch, UTC; default now")
         sub.add_argument("--run-id", help="unique name of the run; repeating it is a no-op")
-        sub.add_argument("--key-mode", choices=(AS_LOADED, CURRENT), default=AS_LOADED)
-        sub.add_argument("--unknown-members", action="store_true")
+        sub.add_argument("--key-mode", choices=(AS_LOADED, CURRENT), default=CURRENT)
+        sub.add_argument("--unknown-members", action=argparse.BooleanOptionalAction, default=True)
     clear = commands.add_parser("clear", help="empty a layer")
-    clear.add_argument("layer", choices=("warehouse", "star_schema"))
-    clear.add_argument("--warehouse", required=True)
-    return parser.parse_args(argv)
+    clear.add_argument("layer", choices=("source", "warehouse", "star_schema"))
+    clear.add_argument("--warehouse")
+    clear.add_argument("--source", help="folder of Parquet tables")
+    sample = commands.add_parser("sample", help="show some rows of a table")
+    sample.add_argument("layer", choices=("warehouse", "star_schema"))
+    sample.add_argument("table")
+    sample.add_argument("--warehouse", required=True)
+    sample.add_argument("--limit", type=int, default=5)
+    args = parser.parse_args(argv)
+    if args.command == "clear" and not (args.source if args.layer == "source" else args.warehouse):
+        parser.error(f"clear {args.layer} needs --{'source' if args.layer == 'source' else 'warehouse'}")
+    return args
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session()
+    if args.command == "sample":
+        Warehouse(spark, args.warehouse).sample(args.layer, args.table, args.limit).show(args.limit, truncate=False)
+        return
+    if args.command == "clear" and args.layer == "source":
+        ParquetSource(spark, args.source).clear()
+        return
     if args.command == "clear":
         Warehouse(spark, args.warehouse).reset_layer(args.layer)
         return
@@ -56,7 +71,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "full":
         full_load(**options)
     else:
-        incremental_load(batch_id=args.batch_id, **options)
+        incremental_load(batch_id=args.batch_id or int(f"{now:%Y%m%d}"), **options)
 
 
 if __name__ == "__main__":

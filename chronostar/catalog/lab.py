@@ -6,7 +6,6 @@ same jobs a deployment runs.
 
 from __future__ import annotations
 
-import threading
 import uuid
 from functools import cached_property
 
@@ -16,7 +15,7 @@ from chronostar.operators.keys import active, assign_keys
 from chronostar.operators.scd2 import CLOSED, KEPT, OPENED, STATE, TIE, merge_rows
 from chronostar.operators.traffic import KEY, PASS, SEQ, merge_extract
 from chronostar.plans.entities import USER_TRAFFIC, Batch, Entity
-from chronostar.plans.jobs import full_load, incremental_load, source_rows
+from chronostar.plans.jobs import AS_LOADED, full_load, incremental_load, rebuild_star, source_rows
 from chronostar.schemas import CSV_AUDIT
 from chronostar.session import stage, staging_root, tune
 from chronostar.sources.fixtures import FixtureSource
@@ -24,6 +23,8 @@ from chronostar.sources.warehouse import Warehouse
 
 FULL_TS, INC_TS = "2024-02-01 00:00:00", "2024-02-02 00:00:00"
 FULL_ID, INC_ID = 1, 20240202
+#: The mode that keeps the keys rows were loaded with, for the queries that show it.
+LITERAL = {"key_mode": AS_LOADED, "unknown_members": False}
 
 
 class Lab:
@@ -35,13 +36,12 @@ class Lab:
         self.batch = Batch(INC_ID, INC_TS)
         self.csv_batch = Batch(INC_ID, INC_TS, CSV_AUDIT)
         self._root = f"{staging_root(spark)}/lab-{uuid.uuid4().hex[:12]}"
-        self._lock = threading.RLock()
 
     @cached_property
     def loaded(self) -> Warehouse:
         """State after the full load."""
         store = Warehouse(self.spark, self._root)
-        full_load(store, self.first, self.first.extract(), FULL_TS, "full")
+        full_load(store, self.first, self.first.extract(), FULL_TS, "full", **LITERAL)
         return Warehouse(self.spark, self._root, as_of=1)
 
     @cached_property
@@ -49,9 +49,16 @@ class Lab:
         """State after the incremental run."""
         assert self.loaded
         store = Warehouse(self.spark, self._root)
-        incremental_load(store, self.second, self.second.extract(), INC_ID, INC_TS, "incremental")
+        incremental_load(store, self.second, self.second.extract(), INC_ID, INC_TS, "incremental", **LITERAL)
         return Warehouse(self.spark, self._root, as_of=2)
 
+    @cached_property
+    def complete(self) -> Warehouse:
+        """The merged state with the star as loads make it by default: current keys, unknown members."""
+        store = self.merged.branch(f"{self._root}-complete")
+        rebuild_star(store, "complete")
+        return store
+
     # --- inputs of the second snapshot's merge --------------------------------
 
     def first_rows(self, entity: Entity) -> DataFrame:

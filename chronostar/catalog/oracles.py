@@ -56,12 +56,11 @@ SELECT p_partkey AS course_id, p_name AS title, p_type AS subject,
   JOIN subcategories sc ON sc.category_id = c.category_id AND sc.name = p_brand
   CROSS JOIN {SNAPSHOTS}""",
     "li": """
-SELECT * FROM (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey, l_partkey, l_suppkey, l_extendedprice,
-                      l_shipdate,
-                      row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                        ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity) AS rn
-                 FROM lineitem) t
- WHERE rn = 1""",
+SELECT (l_orderkey * 10 + l_linenumber) * 100000 - 1
+         + row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                              ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity) AS id,
+       l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_shipdate
+  FROM lineitem""",
     "enrollments": f"""
 SELECT id AS enrollment_id, o_custkey AS user_id, l_partkey AS course_id, o_orderdate AS enrolled_at,
        CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'cancelled'
@@ -619,6 +618,9 @@ SELECT user_sk, traffic_source_sk, referred_at, campaign_code, start_date,
 UNION ALL
 SELECT u.user_sk, t.traffic_source_sk, f.referred_at, f.campaign_code, {T2}, '9999-12-31 00:00:00', 2, {BATCH}, NULL
   FROM fresh f JOIN h1_users u ON u.user_id = f.user_id JOIN h1_traffic_sources t ON t.source_id = f.source_id"""
+    sql["csv_extract_scan"] = """
+SELECT user_id, source_id, referred_at, 'say "' || campaign_code || '",' || chr(10) || 'twice' AS campaign_code
+  FROM user_traffic_csv WHERE snapshot = 1"""
     sql["agg_date_bounds"] = "SELECT * FROM bounds"
     sql["agg_batch_sale_bounds"] = f"""
 SELECT CAST(min(sale_date) AS DATE) AS min_sale_date, CAST(max(sale_date) AS DATE) AS max_sale_date
@@ -626,9 +628,7 @@ SELECT CAST(min(sale_date) AS DATE) AS min_sale_date, CAST(max(sale_date) AS DAT
     sql["agg_least_greatest"] = "SELECT first, last FROM span"
     summary = []
     for e in ENTITIES.values():
-        if e.name == "user_traffic":
-            continue
-        n, key = e.name, e.key[0]
+        n = e.name
         for label, rows in (
             ("new", f"n2_{n}"),
             ("changed", f"c2_{n}"),
@@ -636,11 +636,18 @@ SELECT CAST(min(sale_date) AS DATE) AS min_sale_date, CAST(max(sale_date) AS DAT
                 "unchanged",
                 f"(SELECT 1 FROM s2_{n} s JOIN h1_{n} w ON {e.same_key('w', 's')} WHERE NOT {e.differs('s', 'w')}) q",
             ),
-            ("missing", f"(SELECT 1 FROM h1_{n} WHERE {key} NOT IN (SELECT {key} FROM s2_{n})) q"),
+            (
+                "missing",
+                f"(SELECT 1 FROM h1_{n} w WHERE NOT EXISTS (SELECT 1 FROM s2_{n} s WHERE {e.same_key('w', 's')})) q",
+            ),
         ):
             summary.append(
                 f"SELECT '{n}' AS \"table\", '{label}' AS class, count(*) AS rows FROM {rows} HAVING count(*) > 0"
             )
+    for label, rows in (("new", "n2_csv"), ("changed", "c2_csv"), ("closed", "k2_csv")):
+        summary.append(
+            f"SELECT 'user_traffic_csv' AS \"table\", '{label}' AS class, count(*) AS rows FROM {rows} HAVING count(*) > 0"
+        )
     sql["agg_merge_summary"] = "\nUNION ALL ".join(summary)
 
     sql["assign_surrogate_keys"] = """
@@ -651,7 +658,7 @@ SELECT o_orderkey, o_orderdate, 1000 + row_number() OVER (ORDER BY o_orderdate,
 SELECT sale_id, manager_id, CAST(sale_date AS DATE) AS day FROM sales WHERE snapshot = 1
 UNION ALL
 SELECT id, l_suppkey, day
-  FROM (SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey, CAST(l_shipdate AS DATE) AS day,
+  FROM (SELECT (l_orderkey * 10 + l_linenumber) * 100000 AS id, l_suppkey, CAST(l_shipdate AS DATE) AS day,
                row_number() OVER (PARTITION BY l_orderkey * 10 + l_linenumber
                                   ORDER BY CAST(l_shipdate AS DATE), l_suppkey) AS rn
           FROM lineitem) x
@@ -678,6 +685,9 @@ SELECT a.source_id, a.name, CASE WHEN b.name <> 'click' THEN b.channel ELSE a.ch
     sql["delete_users"] = """
 SELECT * EXCLUDE (snapshot) FROM users
  WHERE snapshot = 1 AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"""
+    sql["delete_users_list"] = """
+SELECT * EXCLUDE (snapshot) FROM users
+ WHERE snapshot = 1 AND user_id % 3 <> 1 AND email NOT LIKE '%7@example.com'"""
     sql["double_last_month_cost"] = """
 SELECT sale_id, enrollment_id, manager_id, sale_date,
        CASE WHEN CAST(sale_date AS DATE) BETWEEN DATE '1997-02-01' AND DATE '1997-02-28' THEN cost_in_rubbles * 2
@@ -692,10 +702,44 @@ SELECT d.year, d.quarter, CAST(sum(f.total_in_rubbles) AS BIGINT) AS revenue,
         f"CAST(coalesce(sum(f.total_in_rubbles) FILTER (coalesce(t.channel, 'unknown') = '{c}'), 0) AS BIGINT) AS {c}"
         for c in ("ads", "messaging", "referral", "web", "unknown")
     )
+    pivot += ", CAST(0 AS BIGINT) AS other"
     sql["traffic_source_pivot"] = f"""
 SELECT d.year, d.quarter, {pivot}
   FROM f1 f JOIN d1_dim_date d ON d.date_key = f.date_key
   LEFT JOIN d1_dim_traffic_source t ON t.traffic_source_key = f.traffic_source_key GROUP BY d.year, d.quarter"""
+    # After the merge: from the open sales and what they refer to now, without any surrogate key.
+    merged = f"""
+WITH acts AS (
+SELECT s.cost_in_rubbles AS revenue, CAST(s.sale_date AS DATE) AS day, e.course_id, c.title, u.country, c.category,
+       a.channel
+  FROM h2_sales s
+  JOIN h2_enrollments e ON e.enrollment_id = s.enrollment_id AND e.end_date = {OPEN}
+  LEFT JOIN h2_courses c ON c.course_id = e.course_id AND c.end_date = {OPEN}
+  LEFT JOIN h2_users u ON u.user_id = e.user_id AND u.end_date = {OPEN}
+  LEFT JOIN ({_latest("h2_user_traffic", "user_id")}) t ON t.user_id = e.user_id
+  LEFT JOIN h2_traffic_sources a ON a.source_id = t.source_id AND a.end_date = {OPEN}
+ WHERE s.end_date = {OPEN})"""
+    totals = "CAST(sum(revenue) AS BIGINT) AS revenue, count(*) AS sales"
+    quarter = "CAST(year(day) AS INTEGER) AS year, CAST(quarter(day) AS INTEGER) AS quarter"
+    sql["revenue_by_quarter_merged"] = f"{merged}\nSELECT {quarter}, {totals} FROM acts GROUP BY 1, 2"
+    channels = ", ".join(
+        f"CAST(coalesce(sum(revenue) FILTER (coalesce(channel, 'unknown') = '{c}'), 0) AS BIGINT) AS {c}"
+        for c in ("ads", "messaging", "referral", "web", "unknown")
+    )
+    sql["traffic_source_pivot_merged"] = f"""{merged}
+SELECT {quarter}, {channels}, CAST(0 AS BIGINT) AS other FROM acts GROUP BY 1, 2"""
+    sql["top_selling_courses_merged"] = f"""{merged}
+SELECT course_id, title, {totals} FROM acts GROUP BY course_id, title ORDER BY revenue DESC, course_id LIMIT 10"""
+    sql["filtered_revenue_merged"] = f"""{merged}
+SELECT coalesce(country, 'unknown') AS country, coalesce(category, 'unknown') AS category, {totals}
+  FROM acts GROUP BY 1, 2"""
+    names = ("open sales", "fact", "revenue by quarter", "top selling courses", "filtered revenue")
+    open_sales = f"FROM h2_sales WHERE end_date = {OPEN}"
+    amount = "CAST(sum(cost_in_rubbles) AS BIGINT) AS revenue"
+    sql["fact_reconciliation"] = "\nUNION ALL ".join(
+        [f"SELECT '{n}' AS report, {amount}, count(*) AS sales {open_sales}" for n in names]
+        + [f"SELECT 'traffic source pivot' AS report, {amount}, CAST(NULL AS BIGINT) AS sales {open_sales}"]
+    )
     sql["top_selling_courses"] = """
 SELECT c.course_id, c.title, CAST(sum(f.total_in_rubbles) AS BIGINT) AS revenue,
        CAST(sum(f.enrollment_count) AS BIGINT) AS sales

@@ -20,6 +20,8 @@ from chronostar.plans.entities import ENROLLMENTS, ENTITIES, USER_TRAFFIC, USERS
 from chronostar.plans.jobs import row_counts
 from chronostar.schemas import HISTORY, SOURCE, STAR, Col, Table, timestamp
 from chronostar.session import stage, stage_path
+from chronostar.sources.fixtures import LINE_REPEATS
+from chronostar.sources.tables import read_extract
 from chronostar.streaming.arrivals import fold_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,6 +332,21 @@ def incremental_load_rows(env: Lab) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("csv_extract_scan")
+def csv_extract_scan(env: Lab) -> DataFrame:
+    """An extract with columns in another order, one more of them, quotes and line breaks, read by name."""
+    folder = stage_path(env.spark, "extract")
+    rows = env.first.extract().select(
+        F.concat(F.lit('say "'), "campaign_code", F.lit('",\ntwice')).alias("campaign_code"),
+        F.lit("not needed").alias("remark"),
+        F.date_format("referred_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("referred_at"),
+        "source_id",
+        "user_id",
+    )
+    rows.write.option("header", True).option("escape", '"').csv(folder)
+    return read_extract(env.spark, folder).select("user_id", "source_id", "referred_at", "campaign_code")
+
+
 @query("stream_csv_arrivals")
 def stream_csv_arrivals(env: Lab) -> DataFrame:
     """The second extract arriving as files on top of the full load."""
@@ -337,9 +354,8 @@ def stream_csv_arrivals(env: Lab) -> DataFrame:
     micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     env.second.extract().drop("_seq").write.option("header", True).option("timestampNTZFormat", micros).csv(folder)
     store = env.loaded.branch(stage_path(env.spark, "stream-warehouse"))
-    fold_arrivals(
-        store, folder, stage_path(env.spark, "stream-checkpoint"), INC_ID, clock=lambda: INC_TS, max_files=1 << 30
-    ).awaitTermination()
+    checkpoint = stage_path(env.spark, "stream-checkpoint")
+    fold_arrivals(store, folder, checkpoint, INC_ID, clock=lambda: INC_TS).awaitTermination()
     return versions(store.history("user_traffic"), USER_TRAFFIC, with_key=False)
 
 
@@ -363,8 +379,12 @@ def agg_merge_summary(env: Lab) -> DataFrame:
     parts = [
         scd2.merge_summary(env.second_rows(e), env.loaded.current(e.name), e)
         for e in ENTITIES.values()
-        if e.unique_active
     ]
+    # The extract's pass: versions opened for unknown keys and for known ones, versions closed.
+    kind = F.when(F.col(scd2.STATE) == scd2.CLOSED, "closed").when(F.col(PASS) == 0, "new").otherwise("changed")
+    extract = env.extract_rows().filter(F.col(scd2.STATE) != scd2.KEPT).groupBy(kind.alias("class"))
+    counted = extract.agg(F.count(F.lit(1)).alias("rows"))
+    parts.append(counted.select(F.lit("user_traffic_csv").alias("table"), "class", "rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -389,7 +409,7 @@ def insert_ignore_conflicts(env: Lab) -> DataFrame:
     """Order lines into the first snapshot's sales; a line key repeats in the input."""
     target = env.first.table("sales").select("sale_id", "manager_id", F.col("sale_date").cast("date").alias("day"))
     lines = _raw(env, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * LINE_REPEATS).alias("sale_id"),
         F.col("l_suppkey").alias("manager_id"),
         F.col("l_shipdate").cast("date").alias("day"),
     )
@@ -442,6 +462,16 @@ def delete_users(env: Lab) -> DataFrame:
     return mutations.delete_ids(env.first.table("users"), "user_id", indebted)
 
 
+@query("delete_users_list")
+def delete_users_list(env: Lab) -> DataFrame:
+    """Deletes by long lists: by number, then by text."""
+    users = env.first.table("users")
+    customers = _raw(env, "customer").select(F.col("c_custkey").alias("id"), F.lower("c_name").alias("name")).toLocalIterator()
+    rows = [(r.id, f"{r.name}@example.com") for r in customers]
+    kept = mutations.delete_ids(users, "user_id", [i for i, _ in rows if i % 3 == 1])
+    return mutations.delete_ids(kept, "email", [e for _, e in rows if e.endswith("7@example.com")])
+
+
 @query("double_last_month_cost")
 def double_last_month_cost(env: Lab) -> DataFrame:
     today = F.lit("1997-03-15").cast("date")
@@ -482,6 +512,43 @@ def filtered_revenue(env: Lab) -> DataFrame:
     )
 
 
+@query("revenue_by_quarter_merged")
+def revenue_by_quarter_merged(env: Lab) -> DataFrame:
+    return reports.revenue_by_quarter(env.complete.star("fact_sales"), env.complete.star("dim_date"))
+
+
+@query("traffic_source_pivot_merged")
+def traffic_source_pivot_merged(env: Lab) -> DataFrame:
+    s = env.complete.star
+    return reports.traffic_source_pivot(s("fact_sales"), s("dim_date"), s("dim_traffic_source"), CHANNELS)
+
+
+@query("top_selling_courses_merged")
+def top_selling_courses_merged(env: Lab) -> DataFrame:
+    return reports.top_selling_courses(env.complete.star("fact_sales"), env.complete.star("dim_course"))
+
+
+@query("filtered_revenue_merged")
+def filtered_revenue_merged(env: Lab) -> DataFrame:
+    """All revenue after the merge, sales of deleted users included."""
+    s = env.complete.star
+    return reports.filtered_revenue(s("fact_sales"), s("dim_user"), s("dim_course"), s("dim_date"))
+
+
+@query("fact_reconciliation")
+def fact_reconciliation(env: Lab) -> DataFrame:
+    s = env.complete.star
+    return reports.reconciliation(
+        s("fact_sales"),
+        env.complete.current("sales"),
+        s("dim_user"),
+        s("dim_course"),
+        s("dim_date"),
+        s("dim_traffic_source"),
+        CHANNELS,
+    )
+
+
 # --- constraints --------------------------------------------------------------------
 
 _STRICT_CUSTOMER = Table(

@@ -6,17 +6,24 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronostar.functions.dates import previous_month
+from chronostar.operators.scd2 import unrepeated
 
 
 def upsert(base: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Insert ``rows``; a row whose key exists replaces the old one."""
+    """Insert ``rows``; a row whose key exists replaces the old one. A key that comes twice in ``rows`` is an error."""
+    rows = unrepeated(rows, key)
     return base.join(rows.select(*key), list(key), "left_anti").unionByName(rows.select(*base.columns))
 
 
 def update_from(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Overwrite the non-key columns of ``changes`` on matching rows, also with NULL."""
+    """Overwrite the non-key columns of ``changes`` on matching rows, also with NULL.
+
+    A key that comes twice in ``changes`` is an error.
+    """
+    changes = unrepeated(changes, key)
     columns = [c for c in changes.columns if c not in key]
     new = changes.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
     joined = base.join(new, list(key), "left")
@@ -28,18 +35,11 @@ def update_from(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> Data
     )
 
 
-MAX_LISTED = 1000  # longer lists are joined instead of being written into the predicate
-
-
-def delete_ids(base: DataFrame, column: str, ids: Iterable[int] | DataFrame) -> DataFrame:
-    """Drop the rows whose key is listed: a short list becomes a predicate, anything else an anti join."""
+def delete_ids(base: DataFrame, column: str, ids: Iterable | DataFrame) -> DataFrame:
+    """Drop the rows whose key is in a list or a frame."""
     if not isinstance(ids, DataFrame):
-        listed = list(ids)
-        if not listed:
-            return base
-        if len(listed) <= MAX_LISTED:
-            return base.filter(~F.coalesce(F.col(column).isin(listed), F.lit(False)))
-        ids = base.sparkSession.createDataFrame([(i,) for i in listed], f"{column} long")
+        kind = T.StructType([T.StructField(column, base.schema[column].dataType)])
+        ids = base.sparkSession.createDataFrame([(i,) for i in ids], kind)
     return base.join(ids.select(column), column, "left_anti")
 
 

@@ -80,8 +80,8 @@ def full_load(
     batch_ts: str,
     run_id: str,
     batch_id: int = FULL_BATCH_ID,
-    key_mode: str = AS_LOADED,
-    unknown_members: bool = False,
+    key_mode: str = CURRENT,
+    unknown_members: bool = True,
 ) -> None:
     """Replace the warehouse and the star by the state of the sources."""
     if store.has_run(run_id):
@@ -117,8 +117,8 @@ def incremental_load(
     batch_id: int,
     batch_ts: str,
     run_id: str,
-    key_mode: str = AS_LOADED,
-    unknown_members: bool = False,
+    key_mode: str = CURRENT,
+    unknown_members: bool = True,
 ) -> None:
     """Merge one batch into the history and bring the star up to date.
 
@@ -147,13 +147,24 @@ def incremental_load(
     run.commit()
 
 
+def rebuild_star(
+    store: Warehouse, run_id: str, key_mode: str = CURRENT, unknown_members: bool = True
+) -> None:
+    """Derive dimensions and fact anew from the stored history; the calendar stays as it is."""
+    if store.has_run(run_id):
+        return
+    run = store.begin(run_id)
+    _write_star(run, run.star("dim_date"), key_mode, unknown_members, True, {})
+    run.commit()
+
+
 def load_extract(
     store: Warehouse,
     extract: DataFrame,
     batch_id: int,
     batch_ts: str,
     run_id: str,
-    key_mode: str = AS_LOADED,
+    key_mode: str = CURRENT,
 ) -> None:
     """Fold one extract into the referrals and rebuild the fact; dimensions and calendar stay as they are."""
     if store.has_run(run_id):

@@ -16,6 +16,10 @@ from chronostar.schemas import SOURCE
 from chronostar.sources.tables import conform, with_sequence
 
 
+#: Room for the repeats of a line number in the id of an order line.
+LINE_REPEATS = 100_000
+
+
 def _day(base: str, offset: Column) -> Column:
     return F.date_add(F.lit(base).cast("date"), offset.cast("int")).cast("timestamp_ntz")
 
@@ -70,7 +74,7 @@ class FixtureSource:
             .select(
                 key.alias("user_id"),
                 F.col("c_mktsegment").alias("first_name"),
-                F.substring("c_name", 10, 1 << 20).alias("last_name"),
+                F.expr("substr(c_name, 10)").alias("last_name"),
                 F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
                 F.when(key % 5 == 0, F.lit(None)).otherwise(phone).alias("phone"),
                 country.alias("country"),
@@ -84,7 +88,7 @@ class FixtureSource:
         return self._read("supplier").select(
             key.alias("manager_id"),
             F.lit("Supplier").alias("first_name"),
-            F.substring("s_name", 10, 1 << 20).alias("last_name"),
+            F.expr("substr(s_name, 10)").alias("last_name"),
             F.concat(prefix, F.lower("s_name"), F.lit("@example.com")).alias("email"),
             _day("1994-01-01", key % 365).alias("hired_at"),
         )
@@ -115,11 +119,11 @@ class FixtureSource:
         )
 
     def _lines(self) -> DataFrame:
-        """One row per order line: the smallest of the repeated ones."""
+        """All order lines; a line number that repeats in its order is counted on in the id's last digits."""
         rest = ("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
-        first = F.min(F.struct(*rest)).alias("_r")
-        lines = self._read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(first)
-        return lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_orderkey", "_r.*")
+        repeat = F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy(*rest)) - 1
+        number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * LINE_REPEATS + repeat
+        return self._read("lineitem").select(number.alias("id"), "l_orderkey", *rest)
 
     def _kept(self, orderkey: str) -> Column:
         return F.lit(True) if self._second else F.col(orderkey) % 50 != 49

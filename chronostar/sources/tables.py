@@ -20,6 +20,9 @@ CSV_SCHEMA = T.StructType(
     ]
 )
 
+#: Columns up to which an extract file is read; a needed one further right counts as missing.
+CSV_COLUMNS = 64
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a declared schema."""
@@ -110,30 +113,52 @@ def clean_extract(df: DataFrame) -> DataFrame:
     return df.withColumn("campaign_code", F.coalesce("campaign_code", F.lit("")))
 
 
-def open_extract(reader, path: str) -> DataFrame:
-    """Extract files (header row, four columns) of a batch or stream reader.
+def open_extract(reader, path: str, line_breaks: bool = True) -> DataFrame:
+    """The lines of extract files as arrays of texts, header lines included, with their file and block.
 
-    Malformed rows fail the load. Each row keeps its file and block.
+    Quoted fields may hold separators, doubled quotes and, with ``line_breaks``, line breaks:
+    a file is then read by one task, otherwise large files are split.
     """
-    raw = reader.schema(CSV_SCHEMA).option("header", True).option("mode", "FAILFAST").csv(path)
-    return clean_extract(
-        raw.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start"))
+    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(CSV_COLUMNS)]
+    raw = reader.schema(T.StructType(fields)).option("multiLine", line_breaks).option("escape", '"').csv(path)
+    return raw.select(
+        F.array(*[f.name for f in fields]).alias("_fields"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
     )
 
 
-def number_rows(extract: DataFrame) -> DataFrame:
-    """Replace file and block by the position of each row: file, block, row within the block.
+def number_rows(lines: DataFrame) -> DataFrame:
+    """The rows of extract files by the column names of each file's header, with their position:
+    file, block, row within the block.
 
-    The position is the same however the files are split over tasks.
+    Columns may come in any order and more of them than needed; a file without a needed
+    column, or a value that is not of its type, fails the load.
     """
     row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return extract.withColumn(
-        SEQ, F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), row.alias("row"))
-    ).drop("_file", "_block")
+    place = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), row.alias("row"))
+    numbered = lines.withColumn(SEQ, place)
+    # One row a file, so no larger than the listing of files that the driver holds for the scan.
+    headers = numbered.groupBy("_file").agg(F.min_by("_fields", SEQ).alias("_header"), F.min(SEQ).alias("_first"))
+    is_row = F.col(SEQ) != F.col("_first")
+    rows = numbered.join(F.broadcast(headers), "_file").filter(is_row)
+
+    def named(field: T.StructField):
+        at = F.array_position("_header", field.name)
+        missing = F.raise_error(F.concat(F.lit(f"no column {field.name} in "), F.col("_file"))).cast("string")
+        # The header line itself is never converted, wherever the filter on it ends up in the plan.
+        value = F.when(is_row, F.when(at > 0, F.get("_fields", (at - 1).cast("int"))).otherwise(missing))
+        return value.cast(field.dataType).alias(field.name)
+
+    return clean_extract(rows.select(*[named(f) for f in CSV_SCHEMA], SEQ))
 
 
 def read_extract(spark: SparkSession, path: str) -> DataFrame:
-    return number_rows(open_extract(spark.read, path))
+    """Rows of extract files. Files are split over tasks unless a line with an odd number of quotes
+    shows that some field goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    broken = spark.read.text(path).filter(quotes % 2 == 1).limit(1).count() > 0
+    return number_rows(open_extract(spark.read, path, broken))
 
 
 def with_sequence(df: DataFrame, *order: str) -> DataFrame:

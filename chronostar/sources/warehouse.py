@@ -11,6 +11,7 @@ import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,12 +62,15 @@ class Warehouse:
         """Publish the next state; fails if another run published that version first."""
         manifest["version"] += 1
         fs, path = self._files(f"v{manifest['version']:08d}.json")
-        _, draft = self._files(f"draft-{uuid.uuid4().hex}")
-        stream = fs.create(draft, False)
+        taken = f"manifest version {manifest['version']} exists: another run was faster, start again"
+        try:
+            stream = fs.create(path, False)  # creates or fails in one step, also on object stores
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception.getClass().getName()):
+                raise RuntimeError(taken) from error
+            raise
         stream.write(bytearray(json.dumps(manifest), "utf-8"))
         stream.close()
-        if fs.exists(path) or not fs.rename(draft, path):
-            raise RuntimeError(f"manifest version {manifest['version']} exists: another run was faster, start again")
 
     def exists(self, path: str) -> bool:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -207,8 +211,10 @@ class Run:
     def scratch(self, label: str):
         """A folder for staged rows that goes away once they have been used."""
         path = f"{self.folder}/scratch/{label}-{uuid.uuid4().hex[:8]}"
-        yield path
-        self.store.remove(path)
+        try:
+            yield path
+        finally:
+            self.store.remove(path)
 
     def current(self, table: str) -> DataFrame:
         return self.store.current(table, self.manifest)

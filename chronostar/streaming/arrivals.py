@@ -8,14 +8,14 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from chronostar.plans.jobs import AS_LOADED, load_extract
+from chronostar.plans.jobs import CURRENT, load_extract
 from chronostar.sources.tables import number_rows, open_extract
 from chronostar.sources.warehouse import Warehouse
 
 
-def arrivals(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
-    """Stream of extract rows, each with the file and block it came from."""
-    return open_extract(spark.readStream.option("maxFilesPerTrigger", max_files), folder)
+def arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Stream of the rows of extract files, each with the file and block it came from."""
+    return open_extract(spark.readStream, folder)
 
 
 def _now() -> str:
@@ -29,11 +29,12 @@ def fold_arrivals(
     batch_id: int,
     name: str = "referrals",
     clock: Callable[[], str] = _now,
-    key_mode: str = AS_LOADED,
-    max_files: int = 1000,
+    key_mode: str = CURRENT,
 ) -> StreamingQuery:
     """Fold every file that arrived since the last call into the referrals, then stop.
 
+    All these files are one micro-batch and count as one extract, in the order of their
+    names; no limit on files cuts them into several, which would change the history.
     Each micro-batch is one run named after the stream and the batch number. A
     micro-batch that is repeated after a crash finds its run committed and does
     nothing, so files count exactly once.
@@ -43,7 +44,7 @@ def fold_arrivals(
         load_extract(store, number_rows(rows), batch_id, clock(), f"{name}-{number}", key_mode)
 
     return (
-        arrivals(store.spark, folder, max_files)
+        arrivals(store.spark, folder)
         .writeStream.foreachBatch(fold)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

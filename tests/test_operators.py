@@ -11,6 +11,7 @@ from chronostar.functions.dates import batch_id_from_date, previous_month, weekd
 from chronostar.functions.predicates import differs_null_as_empty, is_distinct_from
 from chronostar.operators import mutations, quality, star
 from chronostar.operators.keys import assign_keys
+from chronostar.plans import reports
 from chronostar.plans.entities import USER_TRAFFIC, USERS
 from chronostar.schemas import HISTORY, SOURCE, STAR, Col, ForeignKey, Table
 
@@ -174,6 +175,18 @@ def test_upsert_update_delete(spark):
     assert rows(mutations.delete_ids(base, "id", [1, 7]), "id") == [(2,), (3,)]
     assert rows(mutations.delete_ids(base, "id", new), "id") == [(1,), (3,)]
     assert mutations.delete_ids(base, "id", []).count() == 3
+    assert rows(mutations.delete_ids(base, "p", ["a", *map(str, range(2000))]), "id") == [(2,), (3,)]
+    for change in (mutations.upsert, mutations.update_from):
+        with pytest.raises(Exception, match="repeated source key"):
+            change(base, new.union(new), ["id"]).collect()
+
+
+def test_pivot_keeps_channels_that_are_not_listed(spark):
+    fact = spark.createDataFrame([(1, 1, 10, 1), (1, 2, 20, 1), (1, 9, 40, 1)], "date_key int, traffic_source_key long, total_in_rubbles int, enrollment_count int")
+    days = spark.createDataFrame([(1, 2024, 1)], "date_key int, year int, quarter int")
+    sources = spark.createDataFrame([(1, "web"), (2, "radio")], "traffic_source_key long, channel string")
+    got = reports.traffic_source_pivot(fact, days, sources, ["web"]).first()
+    assert (got.web, got.other, got.unknown) == (10, 20, 40)
 
 
 def test_double_last_month(spark):

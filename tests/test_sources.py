@@ -58,7 +58,18 @@ def test_extract_position_is_the_file_order(spark, tmp_path):
 def test_batch_and_stream_read_alike(spark, tmp_path):
     (tmp_path / "a.csv").write_text(HEADER + "1,1,2024-01-01 00:00:00,C\n")
     batch = number_rows(open_extract(spark.read, str(tmp_path)))
-    assert open_extract(spark.readStream, str(tmp_path)).drop("_file", "_block").columns == batch.drop(SEQ).columns
+    assert open_extract(spark.readStream, str(tmp_path)).columns == open_extract(spark.read, str(tmp_path)).columns
+    assert batch.columns == ["user_id", "source_id", "referred_at", "campaign_code", SEQ]
+
+
+def test_extract_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('source_id,note,user_id,campaign_code,referred_at\n7,x,1,"a ""b"", c\nd",2024-01-01 00:00:00\n')
+    (tmp_path / "b.csv").write_text(HEADER + '2,8,2024-01-02 00:00:00,""\n')
+    got = rows(read_extract(spark, str(tmp_path)), "user_id", "source_id", "campaign_code")
+    assert got == [(1, 7, 'a "b", c\nd'), (2, 8, "")]
+    (tmp_path / "c.csv").write_text("user_id,source_id,referred_at\n1,1,2024-01-01 00:00:00\n")
+    with pytest.raises(Exception, match="no column campaign_code"):
+        read_extract(spark, str(tmp_path)).collect()
 
 
 def test_arriving_files_count_once(spark, store, tmp_path):
@@ -67,7 +78,7 @@ def test_arriving_files_count_once(spark, store, tmp_path):
     folder.mkdir()
 
     def run():
-        fold_arrivals(store, str(folder), checkpoint, 2, clock=lambda: T1, max_files=1).awaitTermination()
+        fold_arrivals(store, str(folder), checkpoint, 2, clock=lambda: T1).awaitTermination()
 
     (folder / "1.csv").write_text(HEADER + "1,1,2024-01-01 00:00:00,A\n")
     run()
@@ -144,6 +155,16 @@ def test_command_line_runs_both_loads(spark, tmp_path, monkeypatch):
     assert store.star("fact_sales").count() == 0 and store.history("users").count() == 2
 
 
-def test_command_line_needs_a_batch_number():
-    with pytest.raises(SystemExit):
-        parse(["inc", "--source", "s", "--warehouse", "w"])
+def test_command_line_arguments():
+    assert parse(["inc", "--source", "s", "--warehouse", "w"]).batch_id is None
+    assert parse(["clear", "source", "--source", "s"]).layer == "source"
+    for wrong in (["clear", "source", "--warehouse", "w"], ["clear", "warehouse", "--source", "s"], ["inc"]):
+        with pytest.raises(SystemExit):
+            parse(wrong)
+
+
+def test_two_runs_cannot_publish_the_same_version(spark, store):
+    first, second = store.manifest(), store.manifest()
+    store.commit(first)
+    with pytest.raises(RuntimeError, match="another run was faster"):
+        store.commit(second)
