@@ -468,6 +468,84 @@ def _checks(name: str, generation: str, tables: dict, parents: str) -> list[str]
     return out
 
 
+# The operational tables' rules, written out: required columns, lengths, keys, parents.
+SOURCE_RULES = {
+    "users": (
+        "user_id first_name last_name email country registered_at",
+        {"first_name": 100, "last_name": 100, "email": 255, "phone": 20, "country": 100},
+        ["user_id", "email"],
+        {},
+    ),
+    "sales_managers": (
+        "manager_id first_name last_name email hired_at",
+        {"first_name": 100, "last_name": 100, "email": 255},
+        ["manager_id", "email"],
+        {},
+    ),
+    "courses": (
+        "course_id title subject price_in_rubbles created_at category_id subcategory_id",
+        {"title": 255, "subject": 100},
+        ["course_id"],
+        {"category_id": "categories", "subcategory_id": "subcategories"},
+    ),
+    "enrollments": (
+        "enrollment_id user_id course_id enrolled_at status",
+        {"status": 20},
+        ["enrollment_id"],
+        {"user_id": "users", "course_id": "courses"},
+    ),
+    "sales": (
+        "sale_id enrollment_id manager_id sale_date cost_in_rubbles",
+        {},
+        ["sale_id", "enrollment_id"],
+        {"enrollment_id": "enrollments", "manager_id": "sales_managers"},
+    ),
+    "traffic_sources": ("source_id name channel", {"name": 100, "channel": 100}, ["source_id"], {}),
+    "user_traffic": (
+        "user_id source_id referred_at",
+        {"campaign_code": 50},
+        ["user_id,source_id,referred_at"],
+        {"user_id": "users", "source_id": "traffic_sources"},
+    ),
+    "categories": ("category_id name", {"name": 100}, ["category_id", "name"], {}),
+    "subcategories": ("subcategory_id category_id name", {"name": 100}, ["subcategory_id"], {"category_id": "categories"}),
+}
+SOURCE_CHECKS = {
+    ("courses", "non_negative", "price_in_rubbles"): "price_in_rubbles < 0",
+    ("sales", "non_negative", "cost_in_rubbles"): "cost_in_rubbles < 0",
+    ("enrollments", "enum", "status"): "status NOT IN ('active', 'completed', 'cancelled')",
+}
+
+
+def _source_checks() -> list[str]:
+    found = []
+
+    def one(table: str, rule: str, column: str, count: str) -> None:
+        found.append(
+            f"SELECT '{table}' AS \"table\", '{rule}:{column}' AS rule, '{column}' AS \"column\", "
+            f"CAST(({count}) AS BIGINT) AS violations"
+        )
+
+    def rows(table: str) -> str:
+        plain = table in ("categories", "subcategories")
+        return table if plain else f"(SELECT * FROM {table} WHERE snapshot = 1)"
+
+    for t, (required, lengths, keys, parents) in SOURCE_RULES.items():
+        for c in required.split():
+            one(t, "not_null", c, f"SELECT count(*) FROM {rows(t)} x WHERE {c} IS NULL")
+        for c, n in lengths.items():
+            one(t, "max_length", c, f"SELECT count(*) FROM {rows(t)} x WHERE length({c}) > {n}")
+        for k in keys:
+            repeated = f"SELECT {k} FROM {rows(t)} x GROUP BY {k} HAVING count(*) > 1"
+            one(t, "unique", k, f"SELECT count(*) FROM ({repeated}) q")
+        for c, parent in parents.items():
+            missing = f"{c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {rows(parent)} p)"
+            one(t, "foreign_key", c, f"SELECT count(*) FROM {rows(t)} x WHERE {missing}")
+    for (t, rule, c), broken in SOURCE_CHECKS.items():
+        one(t, rule, c, f"SELECT count(*) FROM {rows(t)} x WHERE {broken}")
+    return found
+
+
 VIEWS["d2_fact_sales"] = "SELECT * FROM f2"
 VIEWS["d2_dim_date"] = "SELECT * FROM d1_dim_date"
 
@@ -787,6 +865,7 @@ SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAV
     sql["dq_single_active"] = f"""
 SELECT user_id, source_id, referred_at, count(*) AS rows FROM h2_user_traffic WHERE end_date = {OPEN}
  GROUP BY user_id, source_id, referred_at HAVING count(*) > 1"""
+    sql["dq_source_rules"] = "\nUNION ALL ".join(_source_checks())
     checks = [c for t in HISTORY for c in _checks(t, "h2_", HISTORY, "h2_")]
     checks += [c for t in STAR for c in _checks(t, "d2_", STAR, "d2_")]
     sql["dq_declared_rules"] = "\nUNION ALL ".join(checks)

@@ -606,6 +606,13 @@ def dq_single_active(env: Lab) -> DataFrame:
     return quality.several_active(env.merged.stored("user_traffic"), ("user_id", "source_id", "referred_at"))
 
 
+@query("dq_source_rules")
+def dq_source_rules(env: Lab) -> DataFrame:
+    """Every declared rule of the operational tables."""
+    tables = {t: env.first.table(t) for t in SOURCE}
+    return reduce(DataFrame.unionByName, [quality.check_table(df, SOURCE[t], tables) for t, df in tables.items()])
+
+
 @query("dq_declared_rules")
 def dq_declared_rules(env: Lab) -> DataFrame:
     """Every declared rule of the history and star tables after the incremental load."""

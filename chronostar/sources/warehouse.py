@@ -21,6 +21,7 @@ from chronostar.operators.keys import assign_keys
 from chronostar.operators.scd2 import CLOSED, KEPT, OPENED, STATE
 from chronostar.plans.entities import ENTITIES
 from chronostar.schemas import HISTORY, STAR
+from chronostar.session import stage
 
 _EMPTY = {"version": 0, "runs": [], "tables": {}, "star": {}}
 
@@ -185,9 +186,15 @@ class Run:
         self._enter(table, path, last)
 
     def load(self, table: str, rows: DataFrame, order: tuple) -> None:
-        """Write rows that are all newly opened, without the merge detour."""
+        """Write rows that are all newly opened, without the merge detour.
+
+        They are staged first: numbering samples its input, which would read the source again.
+        """
         path = f"{self.folder}/{table}/rows"
-        self._enter(table, path, self._append(table, rows, path, order, self.store.last_key(table, self.manifest)))
+        with self.scratch(f"{table}-rows") as scratch:
+            once = stage(rows, table, scratch)
+            last = self._append(table, once, path, order, self.store.last_key(table, self.manifest))
+        self._enter(table, path, last)
 
     def _append(self, table: str, opened: DataFrame, path: str, order: tuple, start: int) -> int:
         entity = ENTITIES[table]

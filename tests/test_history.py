@@ -6,10 +6,11 @@ from support import OPEN, MemorySource, at, course, enrollment, extract, manager
 from chronostar.operators import quality, scd2
 from chronostar.operators.keys import active
 from chronostar.plans.entities import COURSES, ENTITIES, USERS, Batch
-from chronostar.plans.jobs import CURRENT, full_load, incremental_load, load_extract, row_counts, source_rows
+from chronostar.plans.jobs import AS_LOADED, CURRENT, full_load, incremental_load, load_extract, row_counts, source_rows
 from chronostar.schemas import HISTORY, STAR
 from chronostar.sources.warehouse import Warehouse
 
+LITERAL = {"key_mode": AS_LOADED, "unknown_members": False}
 T1, T2, T3 = "2024-02-01 00:00:00", "2024-02-02 00:00:00", "2024-02-03 00:00:00"
 
 
@@ -119,7 +120,7 @@ def test_two_runs_with_one_batch_id(spark, store):
     ]
     for table, entity in ENTITIES.items():
         assert quality.several_active(store.history(table), entity.key).count() == 0
-    assert rows(store.star("dim_user"), "user_id", "country") == [(1, "Z"), (2, "X")]
+    assert rows(store.star("dim_user"), "user_id", "country") == [(-1, None), (1, "Z"), (2, "X")]
 
 
 def test_repeated_run_changes_nothing(spark, store):
@@ -179,12 +180,12 @@ def test_reset_of_the_star_empties_all_its_tables(spark, store):
 
 def test_empty_sources(spark, store):
     empty = {t: [] for t in ("users", "sales_managers", "courses", "enrollments", "sales", "traffic_sources")}
-    load(store, MemorySource(spark, **empty, user_traffic=[]), extract(spark, []))
+    load(store, MemorySource(spark, **empty, user_traffic=[]), extract(spark, []), **LITERAL)
     counts = {r.table: r.rows for r in row_counts(store).collect()}
     assert counts.pop("dim_date") == 1  # no dates at all: today
     assert set(counts.values()) == {0}
     incremental_load(store, MemorySource(spark), extract(spark, []), 2, T2, "inc")
-    assert store.star("dim_user").count() == 2
+    assert store.star("dim_user").count() == 3  # with the unknown member
 
 
 def test_versions_of_a_key_do_not_overlap(spark, store):
@@ -227,9 +228,9 @@ def test_sales_of_changed_enrollments(spark, store):
     source = MemorySource(spark)
     load(store, source)
     changed = source.but(enrollments=[enrollment(1, status="completed"), enrollment(2, 2)])
-    incremental_load(store, changed, None, 2, T2, "literal")
+    incremental_load(store, changed, None, 2, T2, "literal", **LITERAL)
     assert rows(store.star("fact_sales"), "sale_id") == [(2,)]
-    incremental_load(store, changed, None, 3, T3, "current", key_mode=CURRENT)
+    incremental_load(store, changed, None, 3, T3, "current")
     assert rows(store.star("fact_sales"), "sale_id") == [(1,), (2,)]
 
 
@@ -249,8 +250,8 @@ def test_current_keys_point_at_open_versions(spark, store):
 
 def test_literal_keys_dangle_after_a_user_change(spark, store):
     source = MemorySource(spark)
-    load(store, source)
-    incremental_load(store, source.but(users=[user(1, "Y"), user(2)]), None, 2, T2, "inc")
+    load(store, source, **LITERAL)
+    incremental_load(store, source.but(users=[user(1, "Y"), user(2)]), None, 2, T2, "inc", **LITERAL)
     fk = next(f for f in STAR["fact_sales"].foreign_keys if f.column == "user_key")
     assert rows(quality.dangling(store.star("fact_sales"), store.star("dim_user"), fk), "key", "rows") == [(1, 1)]
 
