@@ -11,9 +11,10 @@ from chronostar.session import stage
 def connected_components(edges: DataFrame) -> DataFrame:
     """vertex and label (the smallest vertex of its component) for an edge table (a, b).
 
-    Each round every vertex joins the first of its neighbourhood in an order drawn anew, and the
-    edges are contracted to those between the joined ones, so they get fewer by a factor each
-    round and a star is done in one. Rounds are written, not kept in the lineage. A vertex with very
+    Each round every vertex joins the first of its neighbourhood, and the edges are contracted to
+    those between the joined ones. In even rounds the first is the smallest, so stars around
+    their smallest vertex are done in one; in odd ones the order is drawn anew, so that long
+    chains get shorter by a factor as well. Rounds are written, not kept in the lineage. A vertex with very
     many edges is the repeated side of a join that Spark splits, and minima are pre-aggregated.
     """
     edges = stage(edges.select("a", "b").filter("a != b").distinct(), "edges")
@@ -22,7 +23,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
         def drawn(name: str, salt: int = number):
-            return F.struct(F.xxhash64(name, F.lit(salt)).alias("h"), F.col(name).alias("v"))
+            order = F.xxhash64(name, F.lit(salt)) if salt % 2 else F.lit(0).cast("long")
+            return F.struct(order.alias("h"), F.col(name).alias("v"))
 
         first = both.groupBy("a").agg(F.min(drawn("b")).alias("first"))
         joined = stage(first.select(F.col("a").alias("vertex"), F.least("first", drawn("a"))["v"].alias("own")), "joined")

@@ -420,10 +420,13 @@ def _verify(docs: DataFrame, key: str, text: str, sets: DataFrame, groups: DataF
     full = full.join(wanted.select("set", "copies", "label"), "set").dropDuplicates(["set"])
     full = stage(full.withColumn("group", F.xxhash64("label")), "candidates")
     parts = full.groupBy("group").agg(F.ceil(F.sum(F.length("data")) / TILE_BYTES).cast("int").alias("parts"))
+    parts = stage(parts, "parts")
     tiled = _tiled(full.drop("label").join(parts, "group"), "parts")
     found = stage(_exact(tiled, similarity), "links")
+    if not parts.filter("parts > 1").take(1):
+        return found  # each group was one tile
     counted = found.groupBy("set").agg(F.sum("links").alias("links"))
-    # A group of one tile is done; what several tiles found is connected once more.
+    # What several tiles of a group found is connected once more.
     tree = connected_components(found.select(F.col("root").alias("a"), F.col("set").alias("b")))
     return counted.join(tree.withColumnsRenamed({"vertex": "set", "label": "root"}), "set")
 
