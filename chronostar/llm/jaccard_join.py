@@ -33,8 +33,8 @@ SIMILARITY = 0.8
 TARGET_RECALL = 0.9999
 #: Tokens of a signature.
 PLACES = 64
-#: Expected number of places that a node chooses.
-BRANCHES = 2.0
+#: Expected number of places that a node chooses; a run's root has just so many.
+BRANCHES = 2
 #: Sets up to which a bucket is compared without being split further.
 SMALL = 128
 #: Splits at most; what is still larger is compared in tiles of so many sets a side.
@@ -45,8 +45,7 @@ FIRST_RUNS = 2
 TILE_BYTES = 2 << 20
 #: Ids up to which a table is sent to all tasks; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
-#: Share of equal signature places, below the similarity by four standard deviations, that makes a candidate.
-_MARGIN = 4
+_MOST_RUNS = 10_000
 
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240607)
@@ -60,12 +59,53 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+def root_places(run: int) -> list[int]:
+    """The signature places of a run's root: other ones in each run, until all have been used."""
+    return [(run * BRANCHES + k) % PLACES for k in range(BRANCHES)]
+
+
+def _equal_places(similarity: float) -> list[float]:
+    """The probability of each number of equal signature places."""
+    return [math.comb(PLACES, n) * similarity**n * (1 - similarity) ** (PLACES - n) for n in range(PLACES + 1)]
+
+
+def least_equal(similarity: float = SIMILARITY, recall: float = TARGET_RECALL) -> int:
+    """Equal signature places that make a candidate: fewer take at most half of the misses that are allowed."""
+    below = 0.0
+    for n, p in enumerate(_equal_places(similarity)):
+        below += p
+        if below > (1 - recall) / 2:
+            return n
+    return PLACES
+
+
+def expected_recall(runs: int, similarity: float = SIMILARITY, least: int = 0) -> float:
+    """Probability that a pair of that similarity meets at full depth in one of the runs, whose
+    roots are as they are, and has at least so many equal signature places. All runs see
+    the same signature, so it is summed over the number of equal places."""
+    every, some = divmod(sum(len(root_places(r)) for r in range(runs)), PLACES)
+    total = 0.0
+    for n, p in enumerate(_equal_places(similarity)):
+        if n < least:
+            continue
+        met = 1.0
+        for _ in range(DEPTH - 1):
+            met = 1 - (1 - BRANCHES / PLACES * met) ** n
+        missed = sum(
+            math.comb(n, k) * math.comb(PLACES - n, some - k) / math.comb(PLACES, some) * (1 - met) ** (every * n + k)
+            for k in range(max(0, some - PLACES + n), min(n, some) + 1)
+        )
+        total += p * (1 - missed)
+    return total
+
+
 def runs_needed(recall: float = TARGET_RECALL, similarity: float = SIMILARITY) -> int:
-    """Runs after which a pair of that similarity has met with the target probability, at full depth."""
-    met = 1.0
-    for _ in range(DEPTH):
-        met = 1 - math.exp(-BRANCHES * similarity * met)
-    return math.ceil(math.log(1 - recall) / math.log(1 - met))
+    """Runs after which a pair of that similarity is a candidate with the target probability."""
+    least = least_equal(similarity, recall)
+    for runs in range(1, _MOST_RUNS + 1):
+        if expected_recall(runs, similarity, least) >= recall:
+            return runs
+    raise ValueError(f"similarity {similarity} is too low for signatures of {PLACES} tokens")
 
 
 def shingle_sets(texts: list[str], width: int = SHINGLE) -> list[np.ndarray]:
@@ -112,19 +152,21 @@ def _sets(docs: DataFrame, key: str, text: str, full: bool) -> DataFrame:
     return map_texts(docs, key, text, work, f"key {kind}, set binary, data binary")
 
 
-def _chosen(nodes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each place: (place, rows whose node chooses it, salt of the child)."""
-    for place in range(PLACES):
+def _chosen(nodes: np.ndarray, places: list[int] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each place: (place, rows whose node chooses it, salt of the child); all rows choose given places."""
+    for place in range(PLACES) if places is None else places:
         h = _mixed(nodes * _STEP + _U(2 * place + 1))
-        rows = np.flatnonzero(h < _U(int(BRANCHES / PLACES * 2**64)))
+        rows = np.flatnonzero(h < _U(BRANCHES * 2**64 // PLACES)) if places is None else np.arange(len(nodes))
         if len(rows):
             yield place, rows, h[rows]
 
 
-def _children(nodes: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _children(
+    nodes: np.ndarray, signatures: np.ndarray, places: list[int] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(row, child node) of the sets at nodes: split by the tokens at each chosen place."""
     rows, keys = [], []
-    for place, at, salt in _chosen(nodes):
+    for place, at, salt in _chosen(nodes, places):
         rows.append(at)
         keys.append(_mixed(salt * _STEP + signatures[at, place].astype(np.uint64)))
     if not rows:
@@ -132,6 +174,12 @@ def _children(nodes: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def _root_children(run: int, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, child node) of all sets at a run's root."""
+    root = np.full(len(signatures), _mixed(np.array([run + 1], np.uint64))[0])
+    return _children(root, signatures, root_places(run))
+
+
 def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), PLACES)
 
@@ -145,11 +193,10 @@ def _split(rows: DataFrame, first: list[int] | None = None) -> DataFrame:
                 continue
             sig, sets = _signatures(batch.column("signature")), batch.column("set")
             if first is None:
-                starts = [batch.column("node").to_numpy().view(np.uint64)]
+                found = [_children(batch.column("node").to_numpy().view(np.uint64), sig)]
             else:
-                starts = [np.full(len(sig), _mixed(np.array([r + 1], np.uint64))[0]) for r in first]
-            for nodes in starts:
-                at, keys = _children(nodes, sig)
+                found = (_root_children(r, sig) for r in first)
+            for at, keys in found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64)), sets.take(pa.array(at)).cast(pa.binary())], names=["node", "set"]
                 )
@@ -244,7 +291,7 @@ def _pairs(bounds: np.ndarray, i: np.ndarray, j: np.ndarray, right: np.ndarray)
 
 def _compare_signatures(rows: DataFrame) -> DataFrame:
     """Edges (a, b) between sets of a bucket's tile that look similar: a tree for each connected part."""
-    least = SIMILARITY - _MARGIN * math.sqrt(SIMILARITY * (1 - SIMILARITY) / PLACES)
+    least = least_equal()
     key = ["node", "i", "j"]
 
     def run(batches):
@@ -260,7 +307,7 @@ def _compare_signatures(rows: DataFrame) -> DataFrame:
             kept = np.zeros(len(a), bool)
             for at in range(0, len(a), 65_536):
                 p, q = a[at : at + 65_536], b[at : at + 65_536]
-                kept[at : at + 65_536] = (sig[p] == sig[q]).mean(1) >= least
+                kept[at : at + 65_536] = (sig[p] == sig[q]).sum(1) >= least
             # Roots are the smallest sets, so that buckets with like members give like edges.
             sets = table.column("set").combine_chunks()
             order = np.argsort(np.array(sets.to_pylist(), dtype=object), kind="stable")

@@ -73,6 +73,30 @@ def test_shingles_and_signatures():
     assert (sets[2] == sets[3]).all() and (jaccard_join.signature(sets[2]) == jaccard_join.signature(sets[3])).all()
 
 
+def test_pairs_at_the_bound_meet_in_large_buckets():
+    np = jaccard_join.np
+    runs = jaccard_join.runs_needed()
+    places = [p for r in range(runs) for p in jaccard_join.root_places(r)]
+    assert len(places) == len({*places}) == 2 * runs
+    least = jaccard_join.least_equal()
+    assert jaccard_join.expected_recall(runs, 0.8, least) >= jaccard_join.TARGET_RECALL
+    random = np.random.default_rng(11)
+    a, b = random.integers(0, 1 << 32, (2, 40_000, jaccard_join.PLACES), np.uint32)
+    same = random.random(a.shape) < 0.8
+    b[same] = a[same]
+    met = np.zeros(len(a), bool)
+    for run in range(runs):  # down to the full depth, as if no bucket were small
+        (at, own), (_, other) = jaccard_join._root_children(run, a), jaccard_join._root_children(run, b)
+        for depth in range(jaccard_join.DEPTH):
+            at, own = at[own == other], own[own == other]
+            if depth + 1 < jaccard_join.DEPTH:
+                (k, child), (_, other) = jaccard_join._children(own, a[at]), jaccard_join._children(own, b[at])
+                at, own = at[k], child
+        met[at] = True
+    met &= same.sum(1) >= least
+    assert len(met) - met.sum() <= 12  # 4 are expected; 49 with roots drawn by the hash
+
+
 def test_runs_reach_the_target():
     assert jaccard_join.runs_needed(0.9999) > jaccard_join.runs_needed(0.9) >= 1
     assert jaccard_join.runs_needed(0.99, 0.95) <= jaccard_join.runs_needed(0.99, 0.8)
