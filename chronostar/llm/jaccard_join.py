@@ -37,11 +37,11 @@ PLACES = 64
 BRANCHES = 2
 #: Sets up to which a bucket is compared without being split further.
 SMALL = 128
-#: Splits at most; what is still larger is compared in tiles of so many sets a side.
+#: Splits at most; what is still larger is compared in tiles of so many sets a side, also in the exact comparison.
 DEPTH = 3
 TILE_SETS = 1024
 FIRST_RUNS = 2
-#: Shingle bytes of one side of a tile in the exact comparison.
+#: Shingle bytes, at most, of one side of a tile in the exact comparison.
 TILE_BYTES = 2 << 20
 #: Ids up to which a table is sent to all tasks; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
@@ -414,11 +414,18 @@ def linked_pairs(
         block = np.zeros((len(sets), width), np.float32)
         block[owner[at], column[at] - start] = 1
         common += block @ block.T
-    union = sizes[:, None] + sizes - common
-    near = np.triu(common >= similarity * union - 1e-6 * union, 1)
-    if right is not None:
-        near &= right[:, None] != right
-    return np.nonzero(near)
+    out_a, out_b = [], []
+    step = max(1, (1 << 20) // len(sets))
+    for start in range(0, len(sets), step):
+        at = slice(start, start + step)
+        union = sizes[at, None] + sizes - common[at]
+        near = np.triu(common[at] >= similarity * union - 1e-6 * union, start + 1)
+        if right is not None:
+            near &= right[at, None] != right
+        a, b = np.nonzero(near)
+        out_a.append(a + start)
+        out_b.append(b)
+    return np.concatenate(out_a), np.concatenate(out_b)
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -466,8 +473,7 @@ def _verify(docs: DataFrame, key: str, text: str, sets: DataFrame, groups: DataF
     full = _sets(chosen, "_key", "_text", full=True).filter("set is not null").select("set", "data")
     full = full.join(wanted.select("set", "copies", "label"), "set").dropDuplicates(["set"])
     full = stage(full.withColumn("group", F.xxhash64("label")), "candidates")
-    parts = full.groupBy("group").agg(F.ceil(F.sum(F.length("data")) / TILE_BYTES).cast("int").alias("parts"))
-    parts = stage(parts, "parts")
+    parts = stage(_parts(full), "parts")
     tiled = _tiled(full.drop("label").join(parts, "group"), "parts")
     found = stage(_exact(tiled, similarity), "links")
     if not parts.filter("parts > 1").take(1):
@@ -478,6 +484,12 @@ def _verify(docs: DataFrame, key: str, text: str, sets: DataFrame, groups: DataF
     return counted.join(tree.withColumnsRenamed({"vertex": "set", "label": "root"}), "set")
 
 
+def _parts(full: DataFrame) -> DataFrame:
+    """Into how many parts each group is cut, so that no side of a tile has too many shingles or sets."""
+    most = F.greatest(F.sum(F.length("data")) / TILE_BYTES, F.count("*") / TILE_SETS)
+    return full.groupBy("group").agg(F.ceil(most).cast("int").alias("parts"))
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of `docs`, all columns, without near duplicates: of each class one row stays."""
     numbered = stage(docs.withColumn("_row_number", F.monotonically_increasing_id()), "numbered")

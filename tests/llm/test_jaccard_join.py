@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 
@@ -111,3 +112,19 @@ def test_pairs(similarity):
     assert sorted(zip(a.tolist(), b.tolist())) == [
         (i, j) for i in range(20) for j in range(i + 1, 20) if len(own[i] & own[j]) >= similarity * len(own[i] | own[j])
     ]
+
+
+def test_tiles_of_short_texts_are_bounded_by_sets(spark):
+    full = spark.range(5000).selectExpr("id % 2 * id AS `group`", "cast(repeat('x', 80) AS binary) AS data")
+    parts = {r.group: r.parts for r in jaccard_join._parts(full).collect()}
+    assert parts[0] == -(-2500 // jaccard_join.TILE_SETS) and parts[1] == 1
+
+
+def test_memory_of_a_tile():
+    np = jaccard_join.np
+    sets = [np.array([*range(9), 100 + i], "u8") for i in range(2 * jaccard_join.TILE_SETS)]
+    tracemalloc.start()
+    a, _ = jaccard_join.linked_pairs(sets, 0.9, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not len(a) and peak < 70e6
