@@ -289,9 +289,9 @@ def _pairs(bounds: np.ndarray, i: np.ndarray, j: np.ndarray, right: np.ndarray)
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def _compare_signatures(rows: DataFrame) -> DataFrame:
+def _compare_signatures(rows: DataFrame, similarity: float) -> DataFrame:
     """Edges (a, b) between sets of a bucket's tile that look similar: a tree for each connected part."""
-    least = least_equal()
+    least = least_equal(similarity)
     key = ["node", "i", "j"]
 
     def run(batches):
@@ -329,7 +329,7 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _candidate_edges(sets: DataFrame, runs: list[int], labels: DataFrame | None) -> DataFrame:
+def _candidate_edges(sets: DataFrame, runs: list[int], labels: DataFrame | None, similarity: float) -> DataFrame:
     """Edges found by some runs of the chosen-path recursion."""
     edges = None
     level = _split(sets.select("set", "signature"), runs)
@@ -348,7 +348,7 @@ def _candidate_edges(sets: DataFrame, runs: list[int], labels: DataFrame | None)
         if not live.take(1):
             break
         signed = live.join(sets.select("set", "signature"), "set")
-        found = _compare_signatures(_tiled(signed if last else signed.filter("not large"), "parts"))
+        found = _compare_signatures(_tiled(signed if last else signed.filter("not large"), "parts"), similarity)
         edges = found if edges is None else edges.union(found)
         if last or not live.filter("large").take(1):
             break
@@ -442,9 +442,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: f
     )
     sets = stage(sets, "sets")
     total = runs_needed(similarity=similarity)
-    edges = _candidate_edges(sets, list(range(FIRST_RUNS)), None)
+    edges = _candidate_edges(sets, list(range(FIRST_RUNS)), None, similarity)
     groups = connected_components(edges) if edges is not None else None
-    more = _candidate_edges(sets, list(range(FIRST_RUNS, total)), groups)
+    more = _candidate_edges(sets, list(range(FIRST_RUNS, total)), groups, similarity)
     if more is not None and (more := stage(more, "more")).take(1):
         known = groups.select(F.col("label").alias("a"), F.col("vertex").alias("b")) if groups is not None else more.limit(0)
         groups = connected_components(known.union(more))

@@ -38,6 +38,13 @@ def test_split_buckets_and_tiles(docs, monkeypatch):
     assert sorted(map(tuple, jaccard_join.join(docs(rows)).collect())) == near_duplicates(rows)
 
 
+def test_lower_similarity(docs):
+    rnd = random.Random(6)
+    rows = copies(rnd, [f"w{i}" for i in range(500)], 12, 15)
+    got = jaccard_join.join(docs(rows), similarity=0.4)
+    assert sorted(map(tuple, got.collect())) == near_duplicates(rows, 0.4)
+
+
 def test_components(spark):
     rnd = random.Random(4)
     pairs = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 180)] + [(300, 300)]
@@ -124,7 +131,7 @@ def test_memory_of_a_tile():
     np = jaccard_join.np
     sets = [np.array([*range(9), 100 + i], "u8") for i in range(2 * jaccard_join.TILE_SETS)]
     tracemalloc.start()
-    a, _ = jaccard_join.linked_pairs(sets, 0.9, None)
+    a = jaccard_join.linked_pairs(sets, 0.9, None)[0]
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert not len(a) and peak < 70e6
