@@ -466,10 +466,11 @@ def delete_users(env: Lab) -> DataFrame:
 def delete_users_list(env: Lab) -> DataFrame:
     """Deletes by long lists: by number, then by text."""
     users = env.first.table("users")
-    customers = _raw(env, "customer").select(F.col("c_custkey").alias("id"), F.lower("c_name").alias("name")).toLocalIterator()
-    rows = [(r.id, f"{r.name}@example.com") for r in customers]
-    kept = mutations.delete_ids(users, "user_id", [i for i, _ in rows if i % 3 == 1])
-    return mutations.delete_ids(kept, "email", [e for _, e in rows if e.endswith("7@example.com")])
+    customers = _raw(env, "customer")
+    ids = customers.filter("c_custkey % 3 = 1").select(F.col("c_custkey").alias("user_id"))
+    emails = customers.select(F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"))
+    kept = mutations.delete_ids(users, "user_id", ids)
+    return mutations.delete_ids(kept, "email", emails.filter(F.col("email").endswith("7@example.com")))
 
 
 @query("double_last_month_cost")

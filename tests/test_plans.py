@@ -194,3 +194,11 @@ def test_hot_key_in_an_extract_is_split(spark, tiny_skew):
     assert "skew=true" in final_plan(out)
     states = {r[scd2.STATE]: r["count"] for r in out.groupBy(scd2.STATE).count().collect()}
     assert states == {"closed": n, "opened": n - n // 3}  # one successor per key
+
+
+def test_lists_of_deleted_users_stay_off_the_driver(env):
+    from chronostar.catalog.queries import delete_users_list
+
+    plan = delete_users_list(env)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 2
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan
