@@ -3,7 +3,7 @@ by dimension.
 
 Vectors get one more component that makes all norms equal, so the largest inner product
 is the smallest distance. Each is filed under the nearest centre; a query visits the
-nearest lists. There, vectors are compared in a randomly rotated space in blocks of
+nearest lists, and twice as many again where they gave fewer than it asks for. There, vectors are compared in a randomly rotated space in blocks of
 columns: after each block a hypothesis test on the partial distance abandons the
 candidates that are too far with high confidence. Survivors get exact scores.
 
@@ -49,6 +49,8 @@ class ListModel:
     sample_ids: np.ndarray
     sample: np.ndarray  # as it is, and rotated
     turned: np.ndarray
+    sample_lists: np.ndarray  # in which list each is
+    sizes: np.ndarray | None = None  # vectors of each list
 
     def extended(self, vectors: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.norm**2 - (vectors.astype(np.float64) ** 2).sum(1), 0))
@@ -60,15 +62,23 @@ class ListModel:
         count = min(count, len(self.centres))
         return np.argpartition(distance, count - 1, axis=1)[:, :count]
 
-    def within_sample(self, ids: np.ndarray, turned: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each query its k nearest of the sample (places), and a squared distance that they are within."""
-        squares = (self.turned**2).sum(1)
-        distance = (turned**2).sum(1)[:, None] + squares - 2 * turned @ self.turned.T
-        distance[ids[:, None] == self.sample_ids] = np.inf
-        count = min(k, len(squares))
-        places = np.argpartition(distance, count - 1, axis=1)[:, :count]
-        reach = np.take_along_axis(distance, places, axis=1).max(1)
-        return places, np.maximum(reach if count == k else np.full(len(ids), np.inf), 0).astype(np.float32)
+    def visited_lists(self, vectors: np.ndarray, count: int, least: int) -> np.ndarray:
+        """Of each query, as a mask: the nearest lists, so many and more until they hold `least` vectors."""
+        distance = (self.centres**2).sum(1) - 2 * vectors @ self.centres.T
+        order = np.argsort(distance, axis=1, kind="stable")
+        held = np.cumsum(self.sizes[order], axis=1) - self.sizes[order]  # by the lists before
+        wanted = (np.arange(len(self.centres)) < count) | (held < least)
+        mask = np.zeros(distance.shape, bool)
+        np.put_along_axis(mask, order, wanted, axis=1)
+        return mask
+
+    def reach(self, ids: np.ndarray, turned: np.ndarray, visited: np.ndarray, k: int) -> np.ndarray:
+        """For each query a squared distance that k vectors of the sample in its visited lists are within."""
+        if len(self.sample) < k:
+            return np.full(len(ids), np.inf, np.float32)
+        distance = (turned**2).sum(1)[:, None] + (self.turned**2).sum(1) - 2 * turned @ self.turned.T
+        distance[(ids[:, None] == self.sample_ids) | ~visited[:, self.sample_lists]] = np.inf
+        return np.maximum(np.partition(distance, k - 1, axis=1)[:, k - 1], 0).astype(np.float32)
 
 
 def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
@@ -104,7 +114,7 @@ def fit(vectors: DataFrame, k: int) -> ListModel | None:
     random = np.random.default_rng(7)
     width = sample.shape[1] + 1
     rotation = np.linalg.qr(random.normal(size=(width, width)))[0].astype(np.float32)
-    model = ListModel(np.zeros((1, width), np.float32), rotation, float(norm), 1, ids, sample, sample)
+    model = ListModel(np.zeros((1, width), np.float32), rotation, float(norm), 1, ids, sample, sample, np.zeros(len(ids), int))
     points = model.extended(sample)
     lists = int(np.clip(math.isqrt(count), 1, max(1, len(points) // 8)))
     model.centres = points[random.choice(len(points), lists, replace=False)]
@@ -116,7 +126,7 @@ def fit(vectors: DataFrame, k: int) -> ListModel | None:
         full = sizes > 0
         model.centres[full] = (sums[full] / sizes[full, None]).astype(np.float32)
     model.turned = points @ rotation
-    own = model.nearest_lists(points, 1)[:, 0]
+    own = model.sample_lists = model.nearest_lists(points, 1)[:, 0]
     trial = random.choice(len(points), min(_TRIALS, len(points)), replace=False)
     product = sample[trial] @ sample.T
     product[np.arange(len(trial)), trial] = -np.inf
@@ -202,55 +212,74 @@ def search(
     """
     schema = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
-    points = usable(vectors, key, column)
+    points = stage(usable(vectors, key, column), "points")
     model = fit(points, k)
     if model is None:
         return spark.createDataFrame([], schema)
     asked = usable(queries, key, column).filter(F.size("_vector") == len(model.rotation) - 1)
-    shared = spark.sparkContext.broadcast(model)  # bounded by SAMPLE_ROWS
-
-    def near_in_sample(model, ids, own):
-        return model.within_sample(ids, np.c_[own, np.zeros(len(own), np.float32)] @ model.rotation, k)
+    asked = stage(asked.dropDuplicates(["_id", "_vector"]), "asked")
+    filing = spark.sparkContext.broadcast(model)  # bounded by SAMPLE_ROWS
 
-    def sampled(batches):
+    def file(batches):
+        model = filing.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(at, _SLICE)
+                lists = model.nearest_lists(model.extended(_matrix(part.column("_vector"))), 1)[:, 0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lists, pa.int32()), part.column("_id"), part.column("_vector")],
+                    names=["_list", "_id", "_vector"],
+                )
+
+    filed = stage(points.mapInArrow(file, "_list int, _id long, _vector array<float>"), "filed")
+    model.sizes = np.zeros(len(model.centres), np.int64)
+    for row in filed.groupBy("_list").count().collect():  # as many as centres: SAMPLE_ROWS / 8 or so
+        model.sizes[row["_list"]] = row["count"]
+    shared = spark.sparkContext.broadcast(model)
+    done, lists, free = [], model.probes, False
+    while True:
+        found = stage(_visit(filed, asked, shared, k, lists, free), "found")
+        full = found.filter(F.col("rank") == k).select(F.col("query_id").alias("_id"))
+        short = stage(asked.join(full, "_id", "left_anti"), "short")
+        if free and lists >= len(model.centres) or not short.take(1):
+            done.append(found)
+            break
+        # The test abandoned one of the k that gave the reach, or the lists hold too few: more lists, no reach.
+        done.append(found.join(full.withColumnRenamed("_id", "query_id"), "query_id", "left_semi"))
+        asked, lists, free = short, 2 * lists, True
+    out = done[0]
+    for more in done[1:]:
+        out = out.union(more)
+    return out
+
+
+def _visit(filed: DataFrame, asked: DataFrame, shared, k: int, lists: int, free: bool) -> DataFrame:
+    """The k nearest vectors in the lists that each query visits; scans start with the sample's reach or, if free, with none."""
+
+    def visit(batches):
         model = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE):
                 part = batch.slice(at, _SLICE)
                 ids, own = part.column("_id").to_numpy(), _matrix(part.column("_vector"))
-                places = near_in_sample(model, ids, own)[0]
-                q, p = np.repeat(np.arange(len(ids)), places.shape[1]), places.ravel()
-                other = ids[q] != model.sample_ids[p]
-                q, p = q[other], p[other]
-                scores = (model.sample[p].astype(np.float64) * own[q].astype(np.float64)).sum(1)
-                yield pa.RecordBatch.from_pydict({"query_id": ids[q], "vec_id": model.sample_ids[p], "score": scores})
-
-    def file(asking):
-        def run(batches):
-            model = shared.value
-            for batch in batches:
-                for at in range(0, batch.num_rows, _SLICE):
-                    part = batch.slice(at, _SLICE)
-                    own = _matrix(part.column("_vector"))
-                    reach = np.zeros(len(own), np.float32)
-                    if asking:
-                        reach = near_in_sample(model, part.column("_id").to_numpy(), own)[1]
-                    lists = model.nearest_lists(model.extended(own), model.probes if asking else 1)
-                    rows = pa.array(np.repeat(np.arange(part.num_rows), lists.shape[1]))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(lists.ravel(), pa.int32()),
-                            *[part.column(c).take(rows) for c in ("_id", "_vector")],
-                            pa.array(reach).take(rows),
-                        ],
-                        names=["_list", "_id", "_vector", "_reach"],
-                    )
-
-        return run
-
-    filed_schema = "_list int, _id long, _vector array<float>, _reach float"
-    filed = stage(points.mapInArrow(file(False), filed_schema), "filed")
-    visits = stage(asked.mapInArrow(file(True), filed_schema), "visits")
+                visited = model.visited_lists(model.extended(own), lists, k + 1)
+                if free:
+                    reach = np.full(len(ids), np.inf, np.float32)
+                else:
+                    turned = np.c_[own, np.zeros(len(own), np.float32)] @ model.rotation
+                    reach = model.reach(ids, turned, visited, k)
+                rows, numbers = np.nonzero(visited)
+                rows = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(numbers, pa.int32()),
+                        *[part.column(c).take(rows) for c in ("_id", "_vector")],
+                        pa.array(reach).take(rows),
+                    ],
+                    names=["_list", "_id", "_vector", "_reach"],
+                )
+
+    visits = stage(asked.mapInArrow(visit, "_list int, _id long, _vector array<float>, _reach float"), "visits")
     # One row a list: how many parts its vectors and its visits make.
     parts = filed.groupBy("_list").agg(F.count("*").alias("_rows"))
     parts = parts.join(visits.groupBy("_list").agg(F.count("*").alias("_visits")), "_list").select(
@@ -294,8 +323,6 @@ def search(
         .cogroup(right.groupBy(*place))
         .applyInArrow(compare, "query_id long, vec_id long, score double")
     )
-    # The sample's own neighbours, which set how far the scans reach.
-    near = near.union(asked.mapInArrow(sampled, "query_id long, vec_id long, score double"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.dense_rank().over(by)).filter(F.col("rank") <= k)
     return ranked.dropDuplicates(["query_id", "rank"]).select("query_id", "rank", "vec_id", "score")

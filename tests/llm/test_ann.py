@@ -44,6 +44,40 @@ def test_hot_vector_in_small_parts(spark, monkeypatch):
         assert [r.vec_id for r in got if r.query_id == q] == [i for i in range(6) if i != q][:5]
 
 
+def test_results_are_of_the_visited_lists(spark, monkeypatch):
+    """With the whole table as sample, and one list visited, what other lists hold is not found."""
+    random = np.random.default_rng(3)
+    vectors = random.normal(size=(400, 8)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    fit, models = ann.fit, []
+
+    def one_list(*args):
+        models.append(fit(*args))
+        models[0].probes = 1
+        return models[0]
+
+    monkeypatch.setattr(ann, "fit", one_list)
+    got = ann.search(frame, frame.filter("vec_id < 60"), 3).toPandas()
+    assert got.groupby("query_id").size().tolist() == [3] * 60
+    model, found = models[0], 0
+    at = np.argsort(model.sample_ids)
+    filed = model.sample_lists[at]
+    for q in range(60):
+        order = np.argsort((model.centres**2).sum(1) - 2 * model.extended(vectors[q : q + 1])[0] @ model.centres.T)
+        before = np.cumsum(model.sizes[order]) - model.sizes[order]
+        lists = {*order[(np.arange(len(order)) < 1) | (before < 4)]}
+        own = got[got.query_id == q]
+        found += all(filed[i] in lists for i in own.vec_id)
+    assert found >= 50  # the others lost a vector to the test, and visited twice as many
+
+
+def test_fewer_than_k_vectors(spark):
+    frame = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(4)], "vec_id long, embedding array<float>")
+    got = ann.search(frame, frame, 20).collect()
+    assert sorted((r.query_id, r.vec_id) for r in got) == [(a, b) for a in range(4) for b in range(4) if a != b]
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
