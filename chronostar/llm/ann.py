@@ -212,7 +212,8 @@ def search(
     """
     schema = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
-    points = stage(usable(vectors, key, column), "points")
+    # A repeated row is one vector: the scans count to k.
+    points = stage(usable(vectors, key, column).dropDuplicates(["_id", "_vector"]), "points")
     model = fit(points, k)
     if model is None:
         return spark.createDataFrame([], schema)

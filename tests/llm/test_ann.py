@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chronostar.llm import ann, queries
@@ -78,6 +79,22 @@ def test_fewer_than_k_vectors(spark):
     assert sorted((r.query_id, r.vec_id) for r in got) == [(a, b) for a in range(4) for b in range(4) if a != b]
 
 
+@pytest.mark.parametrize("sample", [60, 20_000])
+def test_repeated_rows_do_not_hide_others(spark, monkeypatch, sample):
+    """A near vector that is stored 50 times takes one of the k places."""
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", sample)
+    random = np.random.default_rng(5)
+    vectors = np.r_[[[1.0, 0, 0, 0], [0.999, 0, 0, 0]], random.normal(size=(400, 4)) * 0.1]
+    vectors[2:22, 0] = np.linspace(0.9, 0.95, 20)
+    vectors[:, 3] = np.sqrt(np.maximum(0, 1.5 - (vectors[:, :3] ** 2).sum(1)))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(1, vectors[1].tolist())] * 50
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(ann, "TARGET_RECALL", 1.0)
+    got = ann.search(frame, frame.filter("vec_id = 0"), 10).orderBy("rank").collect()
+    stored = vectors.astype(np.float32).astype(float)
+    assert [r.vec_id for r in got] == nearest(np.arange(len(stored)), stored, 0, 10).tolist()
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
