@@ -4,7 +4,8 @@ A page is a sequence of text runs and tags. Each word adds to the score, each ta
 from it; the weights are log-odds from labelled pages, those that mark their content
 with an `article` or `main` element. One linear scan finds the contiguous region of the
 largest sum. Elements that are never content (menus, adverts, forms, comments, ...) are
-taken out of the region; their tags cost, their words count for nothing. Where most of
+taken out of the region; their tags cost, their words count for nothing. An element that
+only its class, id or role names so stays if it holds more than half of the words around it. Where most of
 the region lies in one `article` element, it is set to that element's bounds, otherwise
 to whole blocks.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -48,6 +49,10 @@ MARKS = set(
     "notices alert popup modal sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments "
     "disqus respond share sharing social related newsletter subscribe subscription signup login widget".split()
 )
+#: Before such a part, a name tells of the page, not of the element (has-sidebar, no-comments).
+WITH = {"has", "have", "no", "not", "with", "without", "show", "hide"}
+#: Words in content elements, against others, where a marked element is weighed.
+CONTENT_WORDS = 4
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
 
 _TOKEN = re.compile(
@@ -66,8 +71,8 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 def _is_marked(attributes: str) -> bool:
     for groups in _NAMES.findall(attributes):
         value = "".join(groups)
-        parts = {p.lower() for p in _PART.findall(value)}
-        if parts & MARKS or value.lower() in _ROLES:
+        parts = [p.lower() for p in _PART.findall(value)]
+        if any(p in MARKS and before not in WITH for before, p in zip(["", *parts], parts)) or value.lower() in _ROLES:
             return True
     return False
 
@@ -104,37 +109,118 @@ class _Piece:
     words: str
 
 
+_CELLS = {"td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
+_SCOPES = {"table", "td", "th", "caption", "ul", "ol", "menu", "dl", "select", *CONTENT}
+_WALLS = {"td", "th", "caption", *CONTENT}
+#: Elements whose end tag may be missing, with those whose start ends them.
+_ENDED = {"li": ["li"], "dd": ["dd", "dt"], "dt": ["dd", "dt"], "option": ["option"], "td": ["td", "th"], "th": ["td", "th"]}
+_ENDED |= {"tr": ["tr"], "tbody": ["tbody", "thead"], "tfoot": ["tbody", "thead"], "body": ["head"]}
+
+
+def _ends(parts: list[tuple[str, str, str]]) -> dict[int, int]:
+    """For the place of each start tag, the place where its element ends: end tags that may be missing are implied."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    scopes: list[tuple[str, int, defaultdict]] = [("", -1, defaultdict(list))]  # name, height, heights by name
+
+    def close(names, walls, at):
+        for scope, _, opened in reversed(scopes):
+            heights = [opened[n][-1] for n in names if opened.get(n)]
+            if heights:
+                while len(stack) > max(heights):
+                    name, start = stack.pop()
+                    ends[start] = at
+                    if scopes[-1][1] == len(stack):
+                        scopes.pop()
+                    scopes[-1][2][name].pop()
+                return
+            if walls is None or scope in walls:
+                return
+
+    for at, (kind, name, _) in enumerate(parts):
+        if kind == "open" and name not in VOID:
+            if name in BLOCKS and name not in _CELLS:
+                close(["p"], None, at)
+            if name in _ENDED:
+                close(_ENDED[name], {"table"} if name in _CELLS else None, at)
+            scopes[-1][2][name].append(len(stack))
+            stack.append((name, at))
+            if name in _SCOPES:
+                scopes.append((name, len(stack) - 1, defaultdict(list)))
+        elif kind == "close":
+            close([name], {"table"} if name in _CELLS else () if name in CONTENT or name == "table" else _WALLS, at)
+    ends.update((start, len(parts)) for _, start in stack)
+    return ends
+
+
+def _never(name: str, content: int) -> bool:
+    return name in NEVER or (name == "header" and not content)
+
+
+def _taken_out(parts: list[tuple[str, str, str]], ends: dict[int, int]) -> set[int]:
+    """Places of marked elements that are not content: those with no more words than what is around them, in the
+    content element or page, outside of other marked elements."""
+    held = [0]  # words up to each place
+    direct: Counter[int] = Counter()  # words by the innermost marked element, and by content element where none is within
+    path: list[tuple[int, bool]] = [(-1, False)]  # open elements: place, is marked
+    above: dict[int, list[int]] = {}
+    skip = content = 0
+    for at, (kind, name, text) in enumerate(parts):
+        while len(path) > 1 and ends[path[-1][0]] <= at:
+            content -= not path.pop()[1]
+        n = 0
+        if name in CONTENT:
+            skip = at
+        if kind == "text" and at >= skip:
+            n = len(text.split()) * (CONTENT_WORDS if content else 1)
+            for place, marked in reversed(path):
+                direct[place] += n
+                if marked:
+                    break
+        elif kind == "open" and at in ends and at >= skip:
+            if name in CONTENT:
+                path.append((at, False))
+                content += 1
+            elif _never(name, content):
+                skip = ends[at]
+            elif name not in ("html", "body") and _is_marked(text):
+                around = []
+                for place, marked in reversed(path):
+                    around.append(place)
+                    if not marked:
+                        break
+                above[at] = around
+                path.append((at, True))
+        held.append(held[-1] + n)
+    return {at for at, around in above.items() if held[ends[at]] - held[at] <= sum(direct[x] for x in around)}
+
+
 def _read(page: str):
     """Scored parts of a page in order: (tag name or None, piece or None, number of words, in content)."""
-    skip, depth, block, content = "", 0, 0, 0
+    skip = block = content = 0
     article, opened = 0, 0
-    for kind, name, text in tokens(page):
+    parts = list(tokens(page))
+    ends = _ends(parts)
+    out = _taken_out(parts, ends)
+    for at, (kind, name, text) in enumerate(parts):
         if kind == "text":
-            if not skip:
+            if at >= skip:
                 plain = html.unescape(text) if "&" in text else text
                 n = len(plain.split())
                 yield None, _Piece(block, article if opened else 0, plain), n, content > 0
             continue
         if name in BLOCKS:
             block += 1
-        elif name == "br" and not skip:
+        elif name == "br" and at >= skip:
             yield None, _Piece(block, article if opened else 0, " "), 0, content > 0
         if name == "article":
             article += kind == "open" and not opened
             opened = max(0, opened + (1 if kind == "open" else -1))
         if name in CONTENT:
             content = max(0, content + (1 if kind == "open" else -1 if kind == "close" else 0))
-            skip = ""  # an element that was never closed ends here at the latest
-        if skip:
-            if name == skip:
-                depth += 1 if kind == "open" else -1 if kind == "close" else 0
-                if not depth:
-                    skip = ""
-                    block += name in BLOCKS
-        elif kind == "open" and name not in VOID and name not in CONTENT and name not in ("html", "body") and (
-            name in NEVER or (name == "header" and not content) or _is_marked(text)
-        ):
-            skip, depth = name, 1
+            skip = at  # an element that was never closed ends here at the latest
+        if kind == "open" and at >= skip and at in ends and name not in CONTENT and (_never(name, content) or at in out):
+            skip = ends[at]
         yield name, None, 0, content > 0
 
 
