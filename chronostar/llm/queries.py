@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostar.llm import ann, bpe, decontamination, hilbert, html_text, jaccard_join, language_model, quality, token_counts, warc
+from chronostar.llm import (
+    ann,
+    bpe,
+    decontamination,
+    filter_audit,
+    hilbert,
+    html_text,
+    jaccard_join,
+    language_model,
+    minmax_dedup,
+    quality,
+    spelling,
+    token_counts,
+    warc,
+)
+from chronostar.llm.oracles import ORACLE_SQL
 
 SHARDS = 40
 #: Tokens above which a document counts as too long.
@@ -71,6 +86,18 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.components(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_decontamination,
     op2_neighbours,
@@ -82,10 +109,11 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_bpe,
     op9_language_model,
     op10_main_text,
+    op11_minmax_dedup,
+    op12_filter_audit,
+    op13_spelling,
 ]
 
-ORACLE_SQL: dict[str, str] = {}
-
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
