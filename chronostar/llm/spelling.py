@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from os.path import commonprefix
 from zlib import crc32
 
 import pyarrow as pa
@@ -32,6 +33,8 @@ RATIO = 10
 MISPRINTS = 31
 #: Pairs to verify for each word of a chunk above which words meet on their rests instead.
 PAIRS_A_WORD = 16
+#: Code points up to which Spark's own edit distance verifies a pair; its time grows with the square of the length.
+SHORT = 64
 #: Text whose words are counted together in a task before the shuffle.
 COUNTED_BYTES = 16 << 20
 
@@ -108,6 +111,26 @@ def _without_one(rest: Column) -> Column:
     )
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether one replacement (equal lengths) or insertion (b is longer by one) makes b of a."""
+    same = len(commonprefix([a, b]))
+    return a != b and a[same + (len(a) == len(b)) :] == b[same + 1 :]
+
+
+def _verified(pairs: DataFrame) -> DataFrame:
+    """The pairs of long words whose rests are at one edit, in time that grows with their length."""
+
+    def run(batches):
+        for batch in batches:
+            rests = zip(batch.column("rest_a").to_pylist(), batch.column("rest_b").to_pylist())
+            keep = batch.filter(pa.array([one_edit(a, b) for a, b in rests], pa.bool_()))
+            yield pa.RecordBatch.from_pydict({f.name: keep.column(f.name).cast(f.type) for f in types}, schema=types)
+
+    schema = "a string, n_a long, b string, n_b long"
+    types = arrow_schema(pairs.sparkSession, schema)
+    return pairs.select("a", "n_a", "b", "n_b", "rest_a", "rest_b").mapInArrow(run, schema)
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """a, n_a, b, n_b: each pair of distinct words at exactly one edit, once (`words` must be a written table)."""
     a = _pieces(words, False, "a").union(_pieces(words, True, "a"))
@@ -116,9 +139,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
         b.select(*_KEY, F.lit(0).alias("x"), F.lit(1).alias("y"))
     )
     sizes = counted.groupBy(*_KEY).agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
-    crowded = sizes.filter(F.col("x") * F.col("y") > (F.col("x") + F.col("y")) * PAIRS_A_WORD).select(*_KEY)
+    short = F.col("length") <= SHORT
+    many_pairs = F.col("x") * F.col("y") > (F.col("x") + F.col("y")) * PAIRS_A_WORD
+    crowded = sizes.filter(short & many_pairs).select(*_KEY)
     crowded = stage(crowded.withColumn("crowded", F.lit(True)), "crowded")
-    a, b = (x.join(crowded, _KEY, "left") for x in (a, b))
+    long = [x.filter(~short) for x in (a, b)]
+    a, b = (x.filter(short).join(crowded, _KEY, "left") for x in (a, b))
 
     def meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         left = left.withColumnsRenamed({"word": "a", "n": "n_a", "rest": "rest_a"})
@@ -135,12 +161,15 @@ def near_pairs(words: DataFrame) -> DataFrame:
         F.transform(_without_one(rest), lambda v: F.struct(F.lit(0).alias("place"), v.left.alias("left")))
     )
     kinds = {"a": F.when(F.col("longer"), whole), "b": F.when(F.col("longer"), shorter)}
+    # The outer form, though no rest is empty: for the other Spark would cut all rests to see that, crowded or not.
     many = [
-        x.filter("crowded").drop("crowded").withColumn("v", F.explode(kinds[side].otherwise(_without_one(rest))))
+        x.filter("crowded").drop("crowded").withColumn("v", F.explode_outer(kinds[side].otherwise(_without_one(rest))))
         .select("word", "n", *_KEY, "rest", "v.place", "v.left")
         for side, x in (("a", a), ("b", b))
     ]
-    return few.select("a", "n_a", "b", "n_b").union(meet(*many, [*_KEY, "place", "left"]).select("a", "n_a", "b", "n_b"))
+    names = ["a", "n_a", "b", "n_b"]
+    met = few.select(*names).union(meet(*many, [*_KEY, "place", "left"]).select(*names))
+    return met.union(_verified(meet(*long, _KEY)))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
