@@ -4,8 +4,12 @@ Documents with the same set of shingles are one set from the start. Each set has
 MinHash signature, a fixed-size sample of tokens that similar sets share. A run chooses
 some signature places at random and splits the sets by their tokens there; buckets that
 are still large are split again at newly chosen places; small ones are compared pair by
-pair on the signatures. Runs are repeated as often as the target recall needs; after the
-first ones, buckets whose sets are already connected are left out.
+pair on the signatures. Runs are repeated as often as the target recall needs.
+
+Before that, the sets of the large buckets of some runs are compared with a few pivots of their
+bucket: groups of near copies are mostly connected by that, in a number of comparisons that
+grows with the group. The runs leave out buckets whose sets are connected, compare only what is not, and
+call a bucket large by the pairs that are left to compare in it.
 
 What is connected in this way is a group of candidates. Within each the exact similarity of
 all pairs is computed from the shingles, group by group, large groups cut into tiles.
@@ -40,7 +44,9 @@ SMALL = 128
 #: Splits at most; what is still larger is compared in tiles of so many sets a side, also in the exact comparison.
 DEPTH = 3
 TILE_SETS = 1024
+#: Runs whose root buckets have pivots, and pivots of a bucket, drawn by so many orders.
 FIRST_RUNS = 2
+PIVOTS = 3
 #: Shingle bytes, at most, of one side of a tile in the exact comparison.
 TILE_BYTES = 2 << 20
 #: Ids up to which a table is sent to all tasks; larger ones are joined by shuffle.
@@ -329,26 +335,76 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _candidate_edges(sets: DataFrame, runs: list[int], labels: DataFrame | None, similarity: float) -> DataFrame:
-    """Edges found by some runs of the chosen-path recursion."""
+def _pivot_edges(sets: DataFrame, similarity: float) -> DataFrame:
+    """Edges (pivot, set) between sets of the large root buckets of the first runs and their pivots."""
+    least = least_equal(similarity)
+    level = stage(_split(sets.select("set", "signature"), list(range(FIRST_RUNS))), "level")
+    drawn = [F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("order"), "set"))["set"] for k in range(PIVOTS)]
+    large = level.groupBy("node").agg(F.count("*").alias("size"), F.array(*drawn).alias("pivots")).filter(F.col("size") > SMALL)
+    large = stage(large.select("node", F.explode(F.array_distinct("pivots")).alias("pivot")), "pivots")
+    pairs = level.join(_small(large), "node").filter("set != pivot").select("pivot", "set").distinct()
+    pairs = stage(pairs, "pivot-pairs")
+    centres = sets.select(F.col("set").alias("pivot"), F.col("signature").alias("other"))
+    centres = stage(centres.join(pairs.select("pivot").distinct(), "pivot", "left_semi"), "centres")
+    signed = pairs.join(_small(centres), "pivot").join(sets.select("set", "signature"), "set")
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                equal = (_signatures(batch.column("signature")) == _signatures(batch.column("other"))).sum(1)
+                near = batch.filter(pa.array(equal >= least))
+                columns = [near.column(c).cast(pa.binary()) for c in ("pivot", "set")]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return stage(signed.mapInArrow(run, "a binary, b binary"), "pivot-edges")
+
+
+def _placed(level: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Sets of the buckets that still have something to compare: node, set, label, large and the parts of its tiles.
+
+    Large is a bucket with more open pairs (of sets that are not connected) than SMALL for each set. The sets
+    with a bucket's most frequent label are its parts 0 to p - 1, the others the next q parts.
+    """
+    live = level.join(_small(sizes), "node")
+    own = F.coalesce("label", "set")
+    labels = live.filter(F.col("size") > SMALL).groupBy("node", own.alias("own")).agg(F.count("*").alias("n"))
+    tops = labels.groupBy("node").agg(F.max(F.struct("n", "own")).alias("top"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    tops = stage(tops, "tops")
+    parts = [F.greatest(F.ceil(n / TILE_SETS), F.lit(1)).cast("int") for n in (F.col("top.n"), F.col("size") - F.col("top.n"))]
+    live = live.join(_small(tops), "node", "left").withColumns({"p": parts[0], "q": parts[1]})
+    open_pairs = F.col("size") * F.col("size") - F.col("same")
+    large = F.coalesce(open_pairs > F.col("size") * SMALL, F.lit(False))
+    common = F.coalesce(own == F.col("top.own"), F.lit(False))
+    return live.select("node", "set", "label", large.alias("large"), common.alias("common"), F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("q", F.lit(1)).alias("q"))
+
+
+def _open_tiles(rows: DataFrame) -> DataFrame:
+    """Rows of `_placed` with the tiles that they take part in. Sets with the most frequent label are not
+    compared with each other, so a large connected group with a few strays costs no more than its size."""
+    at = F.xxhash64("set")
+    own = F.when(F.col("common"), F.pmod(at, F.col("p"))).otherwise(F.col("p") + F.pmod(at, F.col("q"))).cast("int")
+    other = F.explode(F.sequence(F.when(F.col("common"), F.col("p")).otherwise(F.lit(0)), F.col("p") + F.col("q") - 1))
+    rows = rows.withColumn("own", own).withColumn("other", other)
+    right = (F.col("own") > F.col("other")).alias("right")
+    return rows.select("node", "set", "label", "signature", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), right)
+
+
+def _candidate_edges(sets: DataFrame, runs: list[int], labels: DataFrame, similarity: float) -> DataFrame:
+    """Edges found by some runs of the chosen-path recursion, beyond what labels connect."""
     edges = None
     level = _split(sets.select("set", "signature"), runs)
     for depth in range(1, DEPTH + 1):
-        if labels is not None:
-            level = level.join(labels.select(F.col("vertex").alias("set"), "label"), "set", "left")
-        else:
-            level = level.withColumn("label", F.lit(None).cast("binary"))
+        level = level.join(labels.select(F.col("vertex").alias("set"), "label"), "set", "left")
         level = stage(level, "level")
         own = F.coalesce("label", "set")
         sizes = level.groupBy("node").agg(F.count("*").alias("size"), F.min(own).alias("low"), F.max(own).alias("high"))
         sizes = stage(sizes.filter("size > 1 and low != high").select("node", "size"), "sizes")
-        last = depth == DEPTH
-        live = level.join(_small(sizes), "node").withColumn("parts", F.ceil(F.col("size") / TILE_SETS).cast("int"))
-        live = stage(live.withColumn("large", F.col("size") > SMALL).drop("size"), "live")
+        live = stage(_placed(level, sizes), "live")
         if not live.take(1):
             break
+        last = depth == DEPTH
         signed = live.join(sets.select("set", "signature"), "set")
-        found = _compare_signatures(_tiled(signed if last else signed.filter("not large"), "parts"), similarity)
+        found = _compare_signatures(_open_tiles(signed if last else signed.filter("not large")), similarity)
         edges = found if edges is None else edges.union(found)
         if last or not live.filter("large").take(1):
             break
@@ -442,13 +498,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: f
     )
     sets = stage(sets, "sets")
     total = runs_needed(similarity=similarity)
-    edges = _candidate_edges(sets, list(range(FIRST_RUNS)), None, similarity)
-    groups = connected_components(edges) if edges is not None else None
-    more = _candidate_edges(sets, list(range(FIRST_RUNS, total)), groups, similarity)
+    groups = connected_components(_pivot_edges(sets, similarity))
+    more = _candidate_edges(sets, list(range(total)), groups, similarity)
     if more is not None and (more := stage(more, "more")).take(1):
-        known = groups.select(F.col("label").alias("a"), F.col("vertex").alias("b")) if groups is not None else more.limit(0)
-        groups = connected_components(known.union(more))
-    if groups is None:
+        groups = connected_components(groups.select(F.col("label").alias("a"), F.col("vertex").alias("b")).union(more))
+    if not groups.take(1):
         linked = sets.select("set", F.lit(0).cast("long").alias("links"), F.col("set").alias("root")).limit(0)
     else:
         linked = _verify(docs, key, text, sets, groups, similarity)
@@ -491,8 +545,16 @@ def _parts(full: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs`, all columns, without near duplicates: of each class one row stays."""
-    numbered = stage(docs.withColumn("_row_number", F.monotonically_increasing_id()), "numbered")
-    classes = join(numbered.select("_row_number", F.col(text).alias("_text")), "_row_number", "_text", similarity)
-    keep = classes.filter("_row_number = class_id").select("_row_number")
-    return numbered.join(keep, "_row_number", "left_semi").drop("_row_number")
+    """The rows of `docs`, all columns, without near duplicates: of each class the row with the smallest key stays.
+
+    A null key is the largest; of rows with equal keys in one class any one stays.
+    """
+    number = "_row_number"
+    while number in docs.columns:
+        number += "_"
+    numbered = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    classes = join(numbered.select(F.col(number).alias("_row"), F.col(text).alias("_text")), "_row", "_text", similarity)
+    keys = numbered.select(F.col(number).alias("_row"), F.col(key).alias("_key"))
+    rank = F.struct(F.col("_key").isNull().alias("no_key"), "_key", "_row")
+    firsts = classes.join(keys, "_row").groupBy("class_id").agg(F.min(rank).alias("first"))
+    return numbered.join(firsts.select(F.col("first._row").alias(number)), number, "left_semi").drop(number)
