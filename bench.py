@@ -24,7 +24,8 @@ from chronostar.plans.jobs import full_load, incremental_load  # noqa: E402
 from chronostar.schemas import SOURCE  # noqa: E402
 from chronostar.session import build_session  # noqa: E402
 from chronostar.sources.fixtures import FixtureSource  # noqa: E402
-from chronostar.sources.tables import ParquetSource, read_extract  # noqa: E402
+from chronostar.sources.extracts import read_extract
+from chronostar.sources.tables import ParquetSource  # noqa: E402
 from chronostar.sources.warehouse import Warehouse  # noqa: E402
 
 

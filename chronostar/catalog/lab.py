@@ -68,11 +68,9 @@ class Lab:
         """Source rows of the second snapshot with their parents' keys after the merge."""
         return source_rows(self.second, entity, {p.table: self.merged.current(p.table) for p in entity.parents})
 
-    def merge(self, entity: Entity) -> tuple[DataFrame, int]:
-        """Whole history after merging the second snapshot, and the last key given."""
-        rows = merge_rows(self.second_rows(entity), self.loaded.current(entity.name), entity, self.batch)
-        order = entity.order if entity.unique_active else (*entity.order, TIE)
-        return self._numbered(entity, rows, order, self.loaded.last_key(entity.name))
+    def merge(self, entity: Entity) -> DataFrame:
+        """Whole history after merging the second snapshot: what the run stored; of the referrals before the extract's."""
+        return self.merged.stored(entity.name) if entity.unique_active else self.referrals[0]
 
     def _numbered(self, entity: Entity, rows: DataFrame, order, start: int) -> tuple[DataFrame, int]:
         columns = entity.stored_schema.names
@@ -83,8 +81,10 @@ class Lab:
 
     @cached_property
     def referrals(self) -> tuple[DataFrame, int]:
-        """All referrals after the operational pass and before the extract's."""
-        history, last = self.merge(USER_TRAFFIC)
+        """All referrals after the operational pass and before the extract's, and the last key given."""
+        entity = USER_TRAFFIC
+        rows = merge_rows(self.second_rows(entity), self.loaded.current(entity.name), entity, self.batch)
+        history, last = self._numbered(entity, rows, (*entity.order, TIE), self.loaded.last_key(entity.name))
         return stage(history, "referrals"), last
 
     def extract_rows(self) -> DataFrame:

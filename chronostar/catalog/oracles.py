@@ -699,6 +699,13 @@ SELECT u.user_sk, t.traffic_source_sk, f.referred_at, f.campaign_code, {T2}, '99
     sql["csv_extract_scan"] = """
 SELECT user_id, source_id, referred_at, 'say "' || campaign_code || '",' || chr(10) || 'twice' AS campaign_code
   FROM user_traffic_csv WHERE snapshot = 1"""
+    sql["csv_extract_rejects"] = """
+SELECT CAST(4 - short::INT + long::INT AS INTEGER) AS n_fields, 4 AS n_columns,
+       user_id || CASE WHEN short THEN '' ELSE ',' || source_id END || ',' || strftime(referred_at, '%Y-%m-%d')
+         || ',' || campaign_code || CASE WHEN long THEN ',more' ELSE '' END AS record
+  FROM (SELECT user_id % 13 = 4 AS short, user_id % 17 = 6 AS long, user_id, source_id, referred_at, campaign_code
+          FROM user_traffic_csv WHERE snapshot = 1) r
+ WHERE short <> long"""
     sql["agg_date_bounds"] = "SELECT * FROM bounds"
     sql["agg_batch_sale_bounds"] = f"""
 SELECT CAST(min(sale_date) AS DATE) AS min_sale_date, CAST(max(sale_date) AS DATE) AS max_sale_date

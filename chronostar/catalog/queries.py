@@ -21,7 +21,7 @@ from chronostar.plans.jobs import row_counts
 from chronostar.schemas import HISTORY, SOURCE, STAR, Col, Table, timestamp
 from chronostar.session import stage, stage_path
 from chronostar.sources.fixtures import LINE_REPEATS
-from chronostar.sources.tables import read_extract
+from chronostar.sources.extracts import read_extract, read_rejects
 from chronostar.streaming.arrivals import fold_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,7 +93,7 @@ def _register_entity(entity: Entity) -> None:
 
     @query(f"scd2_{name}_merge")
     def merge(env: Lab) -> DataFrame:
-        return versions(env.merge(entity)[0], entity)
+        return versions(env.merge(entity), entity)
 
 
 for _entity in ENTITIES.values():
@@ -334,11 +334,11 @@ def incremental_load_rows(env: Lab) -> DataFrame:
 
 @query("csv_extract_scan")
 def csv_extract_scan(env: Lab) -> DataFrame:
-    """An extract with columns in another order, one more of them, quotes and line breaks, read by name."""
+    """An extract of 80 columns in another order, with quotes and line breaks, read by name."""
     folder = stage_path(env.spark, "extract")
     rows = env.first.extract().select(
         F.concat(F.lit('say "'), "campaign_code", F.lit('",\ntwice')).alias("campaign_code"),
-        F.lit("not needed").alias("remark"),
+        *[F.lit(f"not needed, {i}").alias(f"remark{i}") for i in range(76)],
         F.date_format("referred_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("referred_at"),
         "source_id",
         "user_id",
@@ -347,6 +347,20 @@ def csv_extract_scan(env: Lab) -> DataFrame:
     return read_extract(env.spark, folder).select("user_id", "source_id", "referred_at", "campaign_code")
 
 
+@query("csv_extract_rejects")
+def csv_extract_rejects(env: Lab) -> DataFrame:
+    """An extract in which some records miss a field and some have one more."""
+    folder = stage_path(env.spark, "extract")
+    day = F.date_format("referred_at", "yyyy-MM-dd")
+    rows = env.first.extract().select("user_id", "source_id", day.alias("day"), "campaign_code")
+    short, long = F.col("user_id") % 13 == 4, F.col("user_id") % 17 == 6
+    text = F.concat_ws(",", "user_id", F.when(~short, F.col("source_id")), "day", "campaign_code", F.when(long, F.lit("more")))
+    # One column named like the whole header, so that each file begins with it; nothing is quoted.
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000"}
+    rows.select(text.alias("user_id,source_id,referred_at,campaign_code")).write.options(**plain).csv(folder)
+    return read_rejects(env.spark, folder).select("n_fields", "n_columns", "record")
+
+
 @query("stream_csv_arrivals")
 def stream_csv_arrivals(env: Lab) -> DataFrame:
     """The second extract arriving as files on top of the full load."""
@@ -533,7 +547,7 @@ def top_selling_courses_merged(env: Lab) -> DataFrame:
 def filtered_revenue_merged(env: Lab) -> DataFrame:
     """All revenue after the merge, sales of deleted users included."""
     s = env.complete.star
-    return reports.filtered_revenue(s("fact_sales"), s("dim_user"), s("dim_course"), s("dim_date"))
+    return reports.filtered_revenue(s("fact_sales", by_month=True), s("dim_user"), s("dim_course"), s("dim_date"))
 
 
 @query("fact_reconciliation")

@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chronostar.functions.predicates import differs_null_as_empty, is_distinct_from
+from chronostar.functions.predicates import differs_null_as_empty, is_active, is_distinct_from
 from chronostar.plans.entities import NULL_SAFE, Batch, Entity
 from chronostar.schemas import open_end, timestamp
 
 # Fate of a row in the next snapshot.
 KEPT, CLOSED, OPENED = "kept", "closed", "opened"
 STATE = "row_state"
+#: What a source row or an open version can be in a merge, besides unchanged.
+CLASSES = ("new", "changed", "missing")
 TIE = "_tie"  # the replaced version; tells apart successors of one key that are equal otherwise
 
 
@@ -148,13 +150,18 @@ def merge_rows(source: DataFrame, active: DataFrame, entity: Entity, batch: Batc
     now (``closed``) and the versions beginning now without a surrogate key
     (``opened``). A closed key that comes back is simply new again.
     """
+    return fates(classify(source, active, entity), entity, batch)
+
+
+def fates(pairs: DataFrame, entity: Entity, batch: Batch, *keep: str) -> DataFrame:
+    """The rows that classified pairs become, with their fate."""
     states = (
         F.when(F.col("class") == "new", F.array(F.lit(OPENED)))
         .when(F.col("class") == "missing", F.array(F.lit(CLOSED if entity.detect_deletes else KEPT)))
         .when(F.col("class") == "changed", F.array(F.lit(CLOSED), F.lit(OPENED)))
         .otherwise(F.array(F.lit(KEPT)))
     )
-    rows = classify(source, active, entity).select("s", "w", F.explode(states).alias(STATE))
+    rows = pairs.select("s", "w", F.explode(states).alias(STATE), *keep)
     new, ended, old = opened_version(entity, batch), closed_version(entity, batch), kept_version(entity)
     ending = ("end_date", "update_id")
     merged = []
@@ -163,7 +170,35 @@ def merge_rows(source: DataFrame, active: DataFrame, entity: Entity, batch: Batc
             value = F.when(F.col(STATE) == CLOSED, ended[name]).otherwise(value)
         merged.append(F.when(F.col(STATE) == OPENED, new[name]).otherwise(value).alias(name))
     tie = [] if entity.unique_active else [F.col(f"w.{entity.sk}").alias(TIE)]
-    return rows.select(*merged, STATE, *tie)
+    return rows.select(*merged, STATE, *tie, *keep)
+
+
+def acting_pairs(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:
+    """The classified pairs that change the history: new, changed and, where deletes count, missing ones.
+
+    The source may lack the parents' surrogate keys: classes follow from the business keys, which the
+    versions carry. ``with_parents`` adds them to what is left.
+    """
+    lacking = [p.sk for p in entity.parents if p.sk not in source.columns]
+    source = source.withColumns({sk: F.lit(None).cast("long") for sk in lacking})
+    acting = ("new", "changed", "missing") if entity.detect_deletes else ("new", "changed")
+    return classify(source, active, entity).filter(F.col("class").isin(*acting))
+
+
+def with_parents(pairs: DataFrame, entity: Entity, parents: dict[str, DataFrame]) -> DataFrame:
+    """Pairs whose source rows get the surrogate keys of their parents' open versions.
+
+    A source row whose parent has no open version is as good as absent: a new one is left out,
+    and a changed one leaves its version open. ``pairs`` must be written, so that their
+    size decides the joins; they are the side that repeats a parent.
+    """
+    for p in entity.parents:
+        lookup = parents[p.table].filter(is_active()).select(
+            F.col(p.natural).alias("_natural"), F.col(p.sk).alias("_sk")
+        )
+        found = pairs.join(lookup, F.col(f"s.{p.natural}") == F.col("_natural"))
+        pairs = found.withColumn("s", F.col("s").withField(p.sk, F.col("_sk"))).drop("_natural", "_sk")
+    return pairs
 
 
 def merge_summary(source: DataFrame, active: DataFrame, entity: Entity) -> DataFrame:

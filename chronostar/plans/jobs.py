@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chronostar.operators.keys import resolve_parents
 from chronostar.operators.quality import repeated_keys
-from chronostar.operators.scd2 import TIE, denormalise_courses, initial_rows, merge_rows
+from chronostar.operators.scd2 import TIE, acting_pairs, denormalise_courses, fates, initial_rows, with_parents
 from chronostar.operators.star import (
     DIMENSIONS,
     calendar,
@@ -26,7 +26,7 @@ from chronostar.operators.star import (
 )
 from chronostar.operators.traffic import KEY, PASS, SEQ, merge_extract
 from chronostar.plans.entities import ENTITIES, PARENTS, USER_TRAFFIC, Batch, Entity
-from chronostar.schemas import CSV_AUDIT, HISTORY, STAR
+from chronostar.schemas import CSV_AUDIT, HISTORY, MONTH, STAR
 from chronostar.session import stage
 from chronostar.sources.warehouse import Run, Warehouse
 
@@ -34,12 +34,23 @@ AS_LOADED, CURRENT = "as_loaded", "current"
 FULL_BATCH_ID = 1
 
 
-def source_rows(source, entity: Entity, parents: dict[str, DataFrame]) -> DataFrame:
-    """An entity's source rows in history shape: names denormalised, parent keys attached."""
+#: Share of the sales beyond which a run builds the whole fact instead of the touched months.
+FACT_SHARE = 0.25
+
+Counts = dict[str, dict[str, int]]
+
+
+def business_rows(source, entity: Entity) -> DataFrame:
+    """An entity's source rows by business keys, names denormalised."""
     rows = source.table(entity.name)
     if entity.name == "courses":
         rows = denormalise_courses(rows, source.table("categories"), source.table("subcategories"))
-    return resolve_parents(rows, entity, parents)
+    return rows
+
+
+def source_rows(source, entity: Entity, parents: dict[str, DataFrame]) -> DataFrame:
+    """An entity's source rows in history shape: names denormalised, parent keys attached."""
+    return resolve_parents(business_rows(source, entity), entity, parents)
 
 
 def _together(step: Callable[[str], None], tables: Iterable[str], after: dict[str, list[str]] | None = None) -> None:
@@ -82,10 +93,10 @@ def full_load(
     batch_id: int = FULL_BATCH_ID,
     key_mode: str = CURRENT,
     unknown_members: bool = True,
-) -> None:
-    """Replace the warehouse and the star by the state of the sources."""
+) -> Counts:
+    """Replace the warehouse and the star by the state of the sources; returns the rows opened by table."""
     if store.has_run(run_id):
-        return
+        return {}
     run = store.begin(run_id, truncate=True)
     batch = Batch(batch_id, batch_ts)
 
@@ -107,6 +118,7 @@ def full_load(
     bounds = overall_bounds(date_bounds({t: run.current(t) for t in ENTITIES}))
     _write_star(run, calendar(bounds), key_mode, unknown_members, False, checks)
     run.commit()
+    return run.counts
 
 
 def incremental_load(
@@ -118,33 +130,43 @@ def incremental_load(
     run_id: str,
     key_mode: str = CURRENT,
     unknown_members: bool = True,
-) -> None:
+) -> Counts:
     """Merge one batch into the history and bring the star up to date.
 
     ``run_id`` names the run, ``batch_id`` the day; repeating a committed run
-    changes nothing.
+    changes nothing. Returns by table how many versions were opened and ended, and how many source
+    rows were new, changed or (where deletes count) missing; the extract's are not told apart.
+
+    Source rows are compared with the open versions by the business keys that these carry; parents are looked up
+    for new and changed rows alone. Only referrals, whose key is made of their parents' surrogate keys, need
+    them before.
     """
     if store.has_run(run_id):
-        return
+        return {}
     run = store.begin(run_id)
     batch = Batch(batch_id, batch_ts)
 
     def merge(table: str) -> None:
         entity = ENTITIES[table]
-        fresh = source_rows(source, entity, _parents(run, entity))
         with run.scratch(f"{table}-source") as scratch:
-            if not entity.unique_active:  # the merge itself checks the others
-                fresh = stage(fresh, table, scratch)
+            if entity.unique_active:  # the merge itself checks that keys come once
+                pairs = acting_pairs(business_rows(source, entity), run.current(table), entity)
+                if entity.parents:
+                    pairs = with_parents(stage(pairs, table, scratch), entity, _parents(run, entity))
+                run.land(table, fates(pairs, entity, batch, "class"), entity.order)
+            else:
+                fresh = stage(source_rows(source, entity, _parents(run, entity)), table, scratch)
                 _require_unique(fresh, entity)
-            rows = merge_rows(fresh, run.current(table), entity, batch)
-            run.land(table, rows, entity.order if entity.unique_active else (*entity.order, TIE))
+                pairs = acting_pairs(fresh, run.current(table), entity)
+                run.land(table, fates(pairs, entity, batch, "class"), (*entity.order, TIE))
         if entity is USER_TRAFFIC and extract is not None:
             land_extract(run, extract, Batch(batch_id, batch_ts, CSV_AUDIT))
 
     _together(merge, ENTITIES, PARENTS)
-    days = extend_calendar(run.star("dim_date"), run.current("sales"), batch_id)
+    days = extend_calendar(run.star("dim_date"), run.current("sales"), batch_id) if run.touched("sales") else None
     _write_star(run, days, key_mode, unknown_members, True, {})
     run.commit()
+    return run.counts
 
 
 def rebuild_star(
@@ -154,7 +176,7 @@ def rebuild_star(
     if store.has_run(run_id):
         return
     run = store.begin(run_id)
-    _write_star(run, run.star("dim_date"), key_mode, unknown_members, True, {})
+    _write_star(run, None, key_mode, unknown_members, True, {})
     run.commit()
 
 
@@ -165,14 +187,15 @@ def load_extract(
     batch_ts: str,
     run_id: str,
     key_mode: str = CURRENT,
-) -> None:
-    """Fold one extract into the referrals and rebuild the fact; dimensions and calendar stay as they are."""
+) -> Counts:
+    """Fold one extract into the referrals and bring the fact up to date; dimensions and calendar stay as they are."""
     if store.has_run(run_id):
-        return
+        return {}
     run = store.begin(run_id)
     land_extract(run, extract, Batch(batch_id, batch_ts, CSV_AUDIT))
-    _write_fact(run, key_mode, active_enrollments_only=True)
+    _bring_fact(run, key_mode, True)
     run.commit()
+    return run.counts
 
 
 def land_extract(run: Run, extract: DataFrame, batch: Batch) -> None:
@@ -190,33 +213,124 @@ def land_extract(run: Run, extract: DataFrame, batch: Batch) -> None:
 
 def _write_star(
     run: Run,
-    days: DataFrame,
+    days: DataFrame | None,
     key_mode: str,
     unknown_members: bool,
     active_enrollments_only: bool,
     checks: dict[str, DataFrame],
 ) -> None:
-    """Write the dimensions and the fact; meanwhile check the given rows for repeated keys.
+    """Bring dimensions, calendar and fact up to date; meanwhile check the given rows for repeated keys.
 
     Dropping a batch's touched keys, adding its open versions and filling in
-    missing members always ends at one row per open version, so the dimensions
-    are projected from the open versions; no join, and no read of closed history.
+    missing members always ends at one row per open version, so a dimension whose table has changed
+    is projected from the open versions; no join, and no read of closed history. What the run leaves
+    as it was is not written. ``days`` is the calendar, None if it stays.
     """
+    made = {"key_mode": key_mode, "unknown_members": unknown_members}
+    alike = run.manifest["star"].get("made") == made
+    run.manifest["star"]["made"] = made
 
     def write(name: str) -> None:
         if name in checks:
             _require_unique(checks[name], ENTITIES[name])
         elif name == "dim_date":
-            run.write_star(name, days)
+            if days is not None and (not alike or _span(days) != _span(run.star(name))):
+                run.write_star(name, days)
         elif name == "fact_sales":
-            _write_fact(run, key_mode, active_enrollments_only)
-        else:
+            _bring_fact(run, key_mode, active_enrollments_only, whole=not alike)
+        elif not alike or run.touched(DIMENSIONS[name][0]) or name not in run.manifest["star"]:
             dim = dimension(name, run.current(DIMENSIONS[name][0]))
             run.write_star(name, with_unknown_member(name, dim) if unknown_members else dim)
 
     _together(write, ("dim_date", "fact_sales", *DIMENSIONS, *checks), {"fact_sales": ["dim_date"]})
 
 
+def _span(days: DataFrame) -> tuple:
+    """First and last day of a calendar."""
+    return tuple(days.agg(F.min("date"), F.max("date")).first())
+
+
+def _bring_fact(run: Run, key_mode: str, active_enrollments_only: bool, whole: bool = False) -> None:
+    """Write the fact rows of the sales that the run has touched, or all of them.
+
+    The whole fact is written where none is stored, where it was made in another way or with the keys rows
+    were loaded with, and where a large share of the sales is touched.
+    """
+    if whole or key_mode != CURRENT or not run.manifest["star"].get("fact_sales"):
+        _write_fact(run, key_mode, active_enrollments_only)
+        return
+    if not any(run.touched(t) for t in ENTITIES) and run.manifest["star"].get("dim_date") == run.before["star"].get("dim_date"):
+        return
+    with run.scratch("touched") as scratch:
+        touched = stage(touched_sales(run), "touched", scratch)
+        number = touched.count()
+        if not number:
+            return
+        if number > FACT_SHARE * run.manifest["tables"]["sales"]["opened_rows"]:
+            _write_fact(run, key_mode, active_enrollments_only)
+        else:
+            _replace_facts(run, touched)
+
+
+def touched_sales(run: Run) -> DataFrame:
+    """sale_id of every sale whose fact row a run may change, found from the versions it opened or ended.
+
+    Those are sales of touched enrollments, managers and, by their enrollments, of touched courses and users; a user is
+    touched by a referral too, or by a source that has referred the user. If the calendar
+    has grown, the sales outside the former one count as well.
+    """
+    users = run.delta("users").select("user_id").union(run.delta("user_traffic").select("user_id"))
+    if run.touched("traffic_sources"):
+        sources = run.delta("traffic_sources").select("source_id").distinct()
+        users = users.union(run.current("user_traffic").join(sources, "source_id", "left_semi").select("user_id"))
+    enrollments, sales = run.current("enrollments"), run.current("sales")
+    courses = run.delta("courses").select("course_id").distinct()
+    by_enrollment = reduce(
+        DataFrame.union,
+        [
+            run.delta("enrollments").select("enrollment_id"),
+            enrollments.join(users.distinct(), "user_id", "left_semi").select("enrollment_id"),
+            enrollments.join(courses, "course_id", "left_semi").select("enrollment_id"),
+        ],
+    ).distinct()
+    managers = run.delta("sales_managers").select("manager_id").distinct()
+    found = [
+        run.delta("sales").select("sale_id"),
+        sales.join(by_enrollment, "enrollment_id", "left_semi").select("sale_id"),
+        sales.join(managers, "manager_id", "left_semi").select("sale_id"),
+    ]
+    if run.manifest["star"].get("dim_date") != run.before["star"].get("dim_date"):
+        first, last = _span(run.store.star("dim_date", run.before))
+        day = F.col("sale_date").cast("date")
+        outside = F.lit(True) if first is None else (day < F.lit(first)) | (day > F.lit(last))
+        found.append(sales.filter(outside).select("sale_id"))
+    return reduce(DataFrame.union, found).distinct()
+
+
+def _replace_facts(run: Run, touched: DataFrame) -> None:
+    """Build the fact rows of some sales (written) anew and write the months that had or have such rows."""
+    with run.scratch("facts") as scratch:
+        tables = {t: run.current(t) for t in ENTITIES}
+        tables["sales"] = tables["sales"].join(touched, "sale_id", "left_semi")
+        # Written in between, so that the few rows decide how the next table is joined.
+        tables["sales"] = stage(tables["sales"], "sales", f"{scratch}/sales")
+        wanted = tables["sales"].select("enrollment_id").distinct()
+        tables["enrollments"] = stage(
+            tables["enrollments"].join(wanted, "enrollment_id", "left_semi"), "enrollments", f"{scratch}/enrollments"
+        )
+        of_users = tables["enrollments"].select("user_id").distinct()
+        referrals = tables["user_traffic"].join(of_users, "user_id", "left_semi")
+        latest = stage(latest_traffic(referrals, "user_id", "source_id"), "latest", f"{scratch}/latest")
+        fresh = stage(fact_current(tables, latest, run.star("dim_date")), "fresh", f"{scratch}/fresh")
+        stored = run.star("fact_sales", by_month=True)
+        month = F.call_function("div", F.col("date_key"), F.lit(100)).cast("int").alias(MONTH)
+        had = stored.join(touched, "sale_id", "left_semi").select(MONTH)
+        # At most as many numbers as the calendar has months.
+        months = sorted(r[0] for r in had.union(fresh.select(month)).distinct().collect())
+        stays = stored.filter(F.col(MONTH).isin(months)).join(touched, "sale_id", "left_anti").drop(MONTH)
+        run.write_fact(stays.unionByName(fresh), months)
+
+
 def _write_fact(run: Run, key_mode: str, active_enrollments_only: bool) -> None:
     days, referrals = run.star("dim_date"), run.current("user_traffic")
     with run.scratch("latest") as scratch:
@@ -230,8 +344,7 @@ def _write_fact(run: Run, key_mode: str, active_enrollments_only: bool) -> None:
             fact = fact_as_loaded(
                 run.current("sales"), run.current("enrollments"), latest, days, active_enrollments_only
             )
-        # Sorted within each file: date ranges then skip row groups and pages, without another shuffle.
-        run.write_star("fact_sales", fact.sortWithinPartitions("date_key"))
+        run.write_fact(fact)
 
 
 def row_counts(store: Warehouse) -> DataFrame:

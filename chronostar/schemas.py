@@ -18,6 +18,8 @@ OPEN_END = "9999-12-31 00:00:00"
 SOURCE_AUDIT = 1
 CSV_AUDIT = 2
 UNKNOWN_KEY = -1
+#: Column that the stored fact is partitioned by: year and month of the sale.
+MONTH = "month"
 
 LONG, INT, STR = T.LongType(), T.IntegerType(), T.StringType()
 TS, DATE = T.TimestampNTZType(), T.DateType()

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from chronostar.operators.traffic import KEY
 from chronostar.schemas import SOURCE
-from chronostar.sources.tables import conform, with_sequence
+from chronostar.sources.extracts import with_sequence
+from chronostar.sources.tables import conform
 
 
-#: Room for the repeats of a line number in the id of an order line.
+#: Room for the repeats of a line number in the id of an order line; more of them fail.
 LINE_REPEATS = 100_000
 
 
@@ -122,6 +123,8 @@ class FixtureSource:
         """All order lines; a line number that repeats in its order is counted on in the id's last digits."""
         rest = ("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
         repeat = F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy(*rest)) - 1
+        full = F.raise_error(F.concat(F.lit(f"over {LINE_REPEATS} repeats of a line of order "), F.col("l_orderkey")))
+        repeat = F.when(repeat < LINE_REPEATS, repeat).otherwise(full.cast("int"))
         number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * LINE_REPEATS + repeat
         return self._read("lineitem").select(number.alias("id"), "l_orderkey", *rest)
 

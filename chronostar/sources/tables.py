@@ -1,29 +1,19 @@
-"""Operational tables and CSV extracts as frames."""
+"""Operational tables as frames."""
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronostar.operators.traffic import SEQ
+from chronostar.operators import mutations
 from chronostar.schemas import SOURCE
 
-CSV_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("source_id", T.IntegerType()),
-        T.StructField("referred_at", T.TimestampNTZType()),
-        T.StructField("campaign_code", T.StringType()),
-    ]
-)
-
-#: Columns up to which an extract file is read; a needed one further right counts as missing.
-CSV_COLUMNS = 64
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a declared schema."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
@@ -31,12 +21,19 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 @dataclass
 class ParquetSource:
-    """One Parquet dataset per operational table under a common folder."""
+    """One Parquet dataset per operational table under a common folder.
+
+    Changes write the files anew that hold a changed row, and no others. New files are written
+    beside the table, then a note names what goes and what comes; whoever meets a note of a
+    writer that was lost finishes it first, so a change is made wholly or not at all.
+    One change of a table at a time.
+    """
 
     spark: SparkSession
     root: str
 
     def table(self, name: str) -> DataFrame:
+        self._finish(name)
         return conform(self.spark.read.parquet(f"{self.root}/{name}"), SOURCE[name].schema)
 
     def create_missing(self) -> None:
@@ -51,6 +48,89 @@ class ParquetSource:
         for name, table in SOURCE.items():
             self.spark.createDataFrame([], table.schema).write.mode(mode).parquet(f"{self.root}/{name}")
 
+    # --- changes; each returns the number of rows affected ----------------------
+
+    def upsert(self, name: str, rows: DataFrame) -> int:
+        """Insert rows; one whose key exists replaces the old one."""
+        key = list(SOURCE[name].unique[0])
+        rows = conform(rows, SOURCE[name].schema)
+        return self._replace(name, self._holding(name, rows.select(key)), lambda old: mutations.upsert(old, rows, key), rows)
+
+    def update(self, name: str, changes: DataFrame) -> int:
+        """Overwrite the columns of ``changes`` beside the key on matching rows, also with NULL."""
+        key = list(SOURCE[name].unique[0])
+        hit = self.table(name).join(changes.select(key), key, "left_semi")
+        return self._replace(name, self._holding(name, changes.select(key)), lambda old: mutations.update_from(old, changes, key), hit)
+
+    def delete(self, name: str, ids: DataFrame) -> int:
+        """Drop the rows whose key is in a frame of one column named like it."""
+        (column,) = ids.columns
+        hit = self.table(name).join(ids, column, "left_semi")
+        return self._replace(name, self._holding(name, ids), lambda old: mutations.delete_ids(old, column, ids), hit)
+
+    def double_last_month(self, name: str, amount: str, at: str, today: Column) -> int:
+        """Double an amount on the rows dated in the month before ``today``."""
+        last_month = F.col(at).cast("date").between(*mutations.previous_month(today))
+        files = self._with_files(name).filter(last_month)
+        hit = self.table(name).filter(last_month)
+        return self._replace(name, files, lambda old: mutations.double_last_month(old, amount, at, today), hit)
+
+    def _with_files(self, name: str) -> DataFrame:
+        self._finish(name)
+        return self.spark.read.parquet(f"{self.root}/{name}").withColumn("_file", F.col("_metadata.file_path"))
+
+    def _holding(self, name: str, keys: DataFrame) -> DataFrame:
+        return self._with_files(name).join(keys.distinct(), keys.columns, "left_semi")
+
+    def _replace(self, name: str, hit: DataFrame, change: Callable[[DataFrame], DataFrame], affected: DataFrame) -> int:
+        """Change the files of the rows in ``hit``; returns the number of ``affected`` rows, counted before."""
+        # No more names than the listing of files that the driver holds for the scan.
+        files = sorted(r[0] for r in hit.select("_file").distinct().collect())
+        number = affected.count()
+        if not number:
+            return 0
+        schema, path = SOURCE[name].schema, self.spark._jvm.org.apache.hadoop.fs.Path
+        paths = [path(self.spark._jvm.java.net.URI(f)).toString() for f in files]
+        old = conform(self.spark.read.parquet(*paths), schema) if paths else self.spark.createDataFrame([], schema)
+        mark = uuid.uuid4().hex[:12]
+        added = f"{self.root}/{name}/_new-{mark}"
+        change(old).select(*schema.names).write.parquet(added)
+        fs = self._fs(name)
+        comes = [s.getPath().getName() for s in fs.listStatus(path(added)) if s.getPath().getName().endswith(".parquet")]
+        note = fs.create(path(f"{self.root}/{name}/_change-{mark}.json"), False)
+        note.write(bytearray(json.dumps({"goes": paths, "comes": comes, "from": added}), "utf-8"))
+        note.close()
+        self._finish(name)
+        return number
+
+    def _fs(self, name: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _finish(self, name: str) -> None:
+        """Carry out the changes that are noted: every step may have been taken already."""
+        fs, path = self._fs(name), self.spark._jvm.org.apache.hadoop.fs.Path
+        folder = f"{self.root}/{name}"
+        listed = [s.getPath().getName() for s in fs.listStatus(path(folder))] if fs.exists(path(folder)) else []
+        for note in sorted(n for n in listed if n.startswith("_change-")):
+            stream = fs.open(path(f"{folder}/{note}"))
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            try:
+                todo = json.loads(text)
+            except ValueError:  # lost while it was written: nothing has been moved
+                fs.delete(path(f"{folder}/{note}"), False)
+                continue
+            for file in todo["goes"]:
+                fs.delete(path(file), False)
+            for file in todo["comes"]:
+                if fs.exists(path(f"{todo['from']}/{file}")):
+                    fs.rename(path(f"{todo['from']}/{file}"), path(f"{folder}/{file}"))
+            fs.delete(path(todo["from"]), True)
+            fs.delete(path(f"{folder}/{note}"), False)
+
 
 @dataclass
 class JdbcSource:
@@ -106,61 +186,3 @@ class JdbcSource:
             ranges = self.range_options(name, *bounds) if bounds else {}
             rows = self._reader(dbtable=qualified, **ranges).load()
         return conform(rows, SOURCE[name].schema)
-
-
-def clean_extract(df: DataFrame) -> DataFrame:
-    """An empty campaign field is the empty text, never NULL."""
-    return df.withColumn("campaign_code", F.coalesce("campaign_code", F.lit("")))
-
-
-def open_extract(reader, path: str, line_breaks: bool = True) -> DataFrame:
-    """The lines of extract files as arrays of texts, header lines included, with their file and block.
-
-    Quoted fields may hold separators, doubled quotes and, with ``line_breaks``, line breaks:
-    a file is then read by one task, otherwise large files are split.
-    """
-    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(CSV_COLUMNS)]
-    raw = reader.schema(T.StructType(fields)).option("multiLine", line_breaks).option("escape", '"').csv(path)
-    return raw.select(
-        F.array(*[f.name for f in fields]).alias("_fields"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
-
-
-def number_rows(lines: DataFrame) -> DataFrame:
-    """The rows of extract files by the column names of each file's header, with their position:
-    file, block, row within the block.
-
-    Columns may come in any order and more of them than needed; a file without a needed
-    column, or a value that is not of its type, fails the load.
-    """
-    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    place = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), row.alias("row"))
-    numbered = lines.withColumn(SEQ, place)
-    # One row a file, so no larger than the listing of files that the driver holds for the scan.
-    headers = numbered.groupBy("_file").agg(F.min_by("_fields", SEQ).alias("_header"), F.min(SEQ).alias("_first"))
-    is_row = F.col(SEQ) != F.col("_first")
-    rows = numbered.join(F.broadcast(headers), "_file").filter(is_row)
-
-    def named(field: T.StructField):
-        at = F.array_position("_header", field.name)
-        missing = F.raise_error(F.concat(F.lit(f"no column {field.name} in "), F.col("_file"))).cast("string")
-        # The header line itself is never converted, wherever the filter on it ends up in the plan.
-        value = F.when(is_row, F.when(at > 0, F.get("_fields", (at - 1).cast("int"))).otherwise(missing))
-        return value.cast(field.dataType).alias(field.name)
-
-    return clean_extract(rows.select(*[named(f) for f in CSV_SCHEMA], SEQ))
-
-
-def read_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of extract files. Files are split over tasks unless a line with an odd number of quotes
-    shows that some field goes on in the next line."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    broken = spark.read.text(path).filter(quotes % 2 == 1).limit(1).count() > 0
-    return number_rows(open_extract(spark.read, path, broken))
-
-
-def with_sequence(df: DataFrame, *order: str) -> DataFrame:
-    """Row order of an extract that did not come from a file."""
-    return clean_extract(df).withColumn(SEQ, F.struct(*order))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from chronostar.plans.jobs import CURRENT, load_extract
-from chronostar.sources.tables import number_rows, open_extract
+from chronostar.sources.extracts import number_rows, open_extract
 from chronostar.sources.warehouse import Warehouse
 
 

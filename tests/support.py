@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from chronostar.operators.traffic import SEQ
 from chronostar.schemas import SOURCE
-from chronostar.sources.tables import clean_extract
+from chronostar.sources.extracts import clean_extract
 
 OPEN = datetime(9999, 12, 31)
 

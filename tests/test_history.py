@@ -1,13 +1,19 @@
 """Merges into the history, run through the load jobs."""
 
+import random
+from datetime import timedelta
+from pathlib import Path
+
 import pytest
 from support import OPEN, MemorySource, at, course, enrollment, extract, manager, referral, rows, sale, user
 
 from chronostar.operators import quality, scd2
 from chronostar.operators.keys import active
+from chronostar.plans import jobs
 from chronostar.plans.entities import COURSES, ENTITIES, USERS, Batch
 from chronostar.plans.jobs import AS_LOADED, CURRENT, full_load, incremental_load, load_extract, row_counts, source_rows
 from chronostar.schemas import HISTORY, STAR
+from chronostar.sources import warehouse
 from chronostar.sources.warehouse import Warehouse
 
 LITERAL = {"key_mode": AS_LOADED, "unknown_members": False}
@@ -52,6 +58,100 @@ def test_unchanged_source_is_a_no_op(spark, store):
     assert {t: rows(store.history(t)) for t in HISTORY} == before
 
 
+def files(folder):
+    return sorted(str(p) for p in Path(folder).rglob("*") if p.is_file() and "manifest" not in p.parts)
+
+
+def test_unchanged_source_writes_no_table_file(spark, store):
+    source = MemorySource(spark)
+    load(store, source)
+    before = files(store.root)
+    counts = incremental_load(store, source, extract(spark, []), 2, T2, "again")
+    assert files(store.root) == before
+    assert all(n == 0 for of_table in counts.values() for n in of_table.values())
+    assert store.has_run("again")
+
+
+def test_counts_are_those_of_the_merge(spark, store):
+    first = MemorySource(spark, users=[user(1), user(2), user(3)])
+    load(store, first)
+    before = {t: store.current(t) for t in ENTITIES}
+    second = first.but(
+        users=[user(1, "Y"), user(2), user(4)], sales=[sale(1, cost=7), sale(2)], user_traffic=[referral(1, campaign="B"), referral(2)]
+    )
+    counts = incremental_load(store, second, extract(spark, [referral(2, 2)]), 2, T2, "inc")
+    for table, entity in ENTITIES.items():
+        source = source_rows(second, entity, {p.table: store.current(p.table) for p in entity.parents})
+        classes = {r["class"]: r["rows"] for r in scd2.merge_summary(source, before[table], entity).collect()}
+        own = counts[table]
+        assert (own["new"], own["changed"]) == (classes.get("new", 0), classes.get("changed", 0))
+        assert own["missing"] == (classes.get("missing", 0) if entity.detect_deletes else 0)
+        assert own["ended"] == own["changed"] + own["missing"]
+        assert own["opened"] == own["new"] + own["changed"] + (table == "user_traffic")  # the extract's row
+    assert load_extract(store, extract(spark, [referral(2, 2, campaign="Z")]), 3, T3, "csv")["user_traffic"] == {"opened": 1, "ended": 1}
+
+
+def grown(rnd, source, step):
+    """Some rows of each table changed, added or (users) gone."""
+
+    def some(rows, change, add):
+        return [change(r) if rnd.random() < 0.1 else r for r in rows] + add
+
+    n = 100 + 10 * step
+    t = source.rows
+    ids = [u[0] for u in t["users"]]
+    return source.but(
+        users=[u for u in some(t["users"], lambda u: (*u[:4], str(step), *u[5:]), [user(n + k) for k in range(3)]) if rnd.random() > 0.05],
+        sales_managers=some(t["sales_managers"], lambda m: (*m[:3], f"m{m[0]}-{step}@example.com", m[4]), []),
+        courses=some(t["courses"], lambda c: (*c[:4], c[4] + step, *c[5:]), []),
+        enrollments=some(t["enrollments"], lambda e: (e[0], rnd.choice(ids), *e[2:]), [enrollment(n + k, rnd.choice(ids), rnd.randint(1, 4)) for k in range(4)]),
+        sales=some(t["sales"], lambda s: (*s[:3], s[3] + timedelta(days=rnd.choice([1, 40, 400])), s[4] + 1), [sale(n + k) for k in range(4)]),
+        traffic_sources=[(i, name, channel if step % 2 else f"c{step}", d) for i, name, channel, d in t["traffic_sources"]],
+        user_traffic=t["user_traffic"] + [referral(rnd.choice(ids), rnd.randint(1, 2), f"2021-0{step}-0{k + 1}") for k in range(3)],
+    )
+
+
+@pytest.mark.parametrize("share", [0.25, 10.0])
+def test_fact_by_deltas_equals_a_rebuild(spark, store, monkeypatch, share):
+    """Whatever changes; also with few ended versions or folders allowed, and from an extract alone."""
+    monkeypatch.setattr(jobs, "FACT_SHARE", share)
+    monkeypatch.setattr(warehouse, "FOLDERS", 2)
+    rnd = random.Random(7)
+    ids = range(1, 31)
+    source = MemorySource(
+        spark,
+        users=[user(i) for i in ids],
+        courses=[course(i) for i in range(1, 5)],
+        enrollments=[enrollment(i, rnd.choice(ids), rnd.randint(1, 4)) for i in ids],
+        sales=[sale(i, day=f"2020-{rnd.randint(1, 12):02}-03") for i in ids],
+        user_traffic=[referral(i) for i in ids if i % 3],
+    )
+    load(store, source)
+    for step in (1, 2, 3):
+        source = grown(rnd, source, step)
+        incremental_load(store, source, None, 1 + step, f"2024-02-0{step + 1} 00:00:00", f"inc{step}")
+        if step == 2:
+            load_extract(store, extract(spark, [referral(4, 2, "2022-01-01"), referral(6, 2, "2022-01-01")]), 9, T3, "csv")
+        other = store.branch(f"{store.root}-{step}")
+        jobs.rebuild_star(other, "other", key_mode=AS_LOADED)
+        jobs.rebuild_star(other, "again", key_mode=CURRENT)
+        got = rows(store.star("fact_sales"))
+        assert got == rows(other.star("fact_sales")) and len(got) == store.current("sales").count()
+        for table in ("dim_user", "dim_traffic_source", "dim_course"):
+            assert rows(store.star(table)) == rows(other.star(table))
+    assert max(len(e["current"]) for e in store.manifest()["tables"].values()) <= 3
+    for table, entity in ENTITIES.items():
+        assert quality.several_active(store.history(table), entity.key).count() == 0
+
+
+def test_changed_row_of_a_lost_parent_stays_open(spark, store):
+    source = MemorySource(spark)
+    load(store, source)
+    gone = source.but(users=[user(2)], enrollments=[enrollment(1, 1, status="completed"), enrollment(2, 2), enrollment(3, 1)])
+    incremental_load(store, gone, None, 2, T2, "inc")
+    assert rows(store.history("enrollments"), "enrollment_id", "status", "end_date") == [(1, "active", OPEN), (2, "active", OPEN)]
+
+
 def test_new_changed_and_deleted_users(spark, store):
     source = MemorySource(spark, users=[user(1), user(2), user(3)])
     load(store, source)

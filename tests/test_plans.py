@@ -63,6 +63,31 @@ def test_merge_of_unique_keys_is_one_join(env, no_broadcast):
     assert text.count("Exchange hashpartitioning") == 2 and text.count("Sort [") == 2
 
 
+@pytest.mark.parametrize("table", ["enrollments", "sales"])
+def test_merge_compares_before_it_looks_up_parents(env, no_broadcast, table):
+    """The whole source meets the table's own versions only; two shuffles, none of a parent."""
+    entity = ENTITIES[table]
+    source = env.loaded.current(table).drop(entity.sk, *[p.sk for p in entity.parents], *entity.audit_names)
+    pairs = scd2.acting_pairs(source, env.loaded.current(table), entity)
+    text = plan(pairs)
+    assert text.count("Join") - text.count("BroadcastHashJoin LeftAnti") == 1
+    assert text.count("Exchange hashpartitioning") == 2
+    parents = {p.table: env.loaded.current(p.table) for p in entity.parents}
+    found = scd2.with_parents(stage(pairs, "pairs"), entity, parents)
+    assert all(f"{p.natural}" in plan(found) for p in entity.parents)
+    assert found.count() == 0
+
+
+def test_days_prune_the_months_of_the_fact(env):
+    fact = env.complete.star("fact_sales", by_month=True)
+    days = env.complete.star("dim_date").filter("year = 1995 and quarter = 2")
+    env.spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.enabled", "true")
+    text = reports.on_days(fact, days)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text.lower() and "PartitionFilters: [" in text
+    got = reports.on_days(fact, days).count()
+    assert got == fact.filter("date_key between 19950401 and 19950630").count() > 0
+
+
 @pytest.mark.parametrize("table", sorted(ENTITIES))
 def test_steps_use_anti_joins(env, table):
     entity = ENTITIES[table]

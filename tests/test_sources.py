@@ -2,12 +2,13 @@
 
 import duckdb
 import pytest
-from support import MemorySource, at, referral, rows
+from support import MemorySource, at, frame, referral, rows, user
 from test_history import T1, load
 
 from chronostar.__main__ import main, parse
 from chronostar.operators.traffic import SEQ
-from chronostar.sources.tables import JdbcSource, ParquetSource, number_rows, open_extract, read_extract
+from chronostar.sources.extracts import SKIP, number_rows, open_extract, read_extract, read_rejects
+from chronostar.sources.tables import JdbcSource, ParquetSource
 from chronostar.sources.warehouse import Warehouse
 from chronostar.streaming.arrivals import fold_arrivals
 
@@ -72,6 +73,46 @@ def test_extract_columns_go_by_name(spark, tmp_path):
         read_extract(spark, str(tmp_path)).collect()
 
 
+def test_wide_extract(spark, tmp_path):
+    names = [f"n{i}" for i in range(90)] + ["campaign_code", "user_id", "referred_at", "source_id"]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join(["x"] * 90) + ",C,3,2024-01-01,4\n")
+    (tmp_path / "b.csv").write_text("\ufeff" + HEADER + "5,6,2024-01-01,\n\n")
+    got = rows(read_extract(spark, str(tmp_path)), "user_id", "source_id", "campaign_code")
+    assert got == [(3, 4, "C"), (5, 6, "")]
+
+
+def test_records_of_another_width(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + '1,1,2024-01-01,A\n3\n4,2\n5,2,2024-01-01,"B, b",extra\n6,2,2024-01-01,C\n')
+    with pytest.raises(Exception, match="malformed record of . fields, the header has 4"):
+        read_extract(spark, str(tmp_path)).collect()
+    assert rows(read_extract(spark, str(tmp_path), SKIP), "user_id", "campaign_code") == [(1, "A"), (6, "C")]
+    wrong = read_rejects(spark, str(tmp_path))
+    assert rows(wrong, "n_fields", "record") == [(1, "3"), (2, "4,2"), (5, '5,2,2024-01-01,"B, b",extra')]
+    (tmp_path / "b.csv").write_text(HEADER + '1,1,2024-01-01,"A\n3,3,2024-01-01,B\n')
+    with pytest.raises(ValueError, match="malformed extract: a quoted field has no end"):
+        read_extract(spark, str(tmp_path))
+
+
+def test_line_breaks_in_fields_over_many_blocks(spark, tmp_path):
+    """One file read by many tasks gives the rows that one task gives, in order, also in the stream's form."""
+    want = []
+    with open(tmp_path / "a.csv", "w") as f:
+        f.write(HEADER)
+        for i in range(400):
+            code = {0: "plain", 1: "a\nb", 2: '"', 3: 'x ""\n\n, y\n' * (i % 17), 4: ","}[i % 5]
+            want.append((i, code))
+            f.write(f'{i},1,2024-01-01 00:00:00,"' + code.replace('"', '""') + '"\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        df = read_extract(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        assert [(r.user_id, r.campaign_code) for r in df.orderBy(SEQ).collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    df = read_extract(spark, str(tmp_path))
+    assert [(r.user_id, r.campaign_code) for r in df.orderBy(SEQ).collect()] == want
+
+
 def test_arriving_files_count_once(spark, store, tmp_path):
     load(store, MemorySource(spark, user_traffic=[]))
     folder, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
@@ -86,7 +127,7 @@ def test_arriving_files_count_once(spark, store, tmp_path):
     version = store.manifest()["version"]
     run()
     assert store.manifest()["version"] == version
-    (folder / "2.csv").write_text(HEADER + "1,1,2024-01-01 00:00:00,B\n2,2,1990-01-01 00:00:00,\n")
+    (folder / "2.csv").write_text(HEADER + '"1",1,2024-01-01 00:00:00,"B"\n2,2,1990-01-01 00:00:00,\n')
     run()
     assert rows(store.history("user_traffic"), "user_sk", "campaign_code", "update_id") == [
         (1, "A", 2),
@@ -138,6 +179,69 @@ def test_empty_operational_tables(spark, tmp_path):
     assert source.table("users").count() == 0
 
 
+def stored_users(spark, tmp_path, n=40):
+    """Users in files of ten keys each."""
+    source = ParquetSource(spark, str(tmp_path / "source"))
+    for start in range(1, n, 10):
+        part = MemorySource(spark, users=[user(i) for i in range(start, start + 10)]).table("users")
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "source" / "users"))
+    return source, lambda: {p.name for p in (tmp_path / "source" / "users").glob("*.parquet")}
+
+
+def test_changes_write_only_the_files_they_hit(spark, tmp_path):
+    source, files = stored_users(spark, tmp_path)
+    before = files()
+    schema = source.table("users").schema
+    assert source.delete("users", frame(spark, [(3,), (99,)], schema[:1])) == 1
+    assert len(files() & before) == 3
+    assert sorted(r.user_id for r in source.table("users").collect()) == [1, 2, *range(4, 41)]
+    middle = files()
+    assert source.upsert("users", frame(spark, [user(15, "Z"), user(50)], schema)) == 2
+    assert len(files() & middle) == 3
+    changes = source.table("users").filter("user_id = 25").selectExpr("user_id", "cast(null as string) AS phone", "'Q' AS country")
+    assert source.update("users", changes) == 1
+    got = {r.user_id: r.country for r in source.table("users").collect()}
+    assert sorted(got) == [1, 2, *range(4, 41), 50] and {k for k, c in got.items() if c != "X"} == {15, 25}
+    last = files()
+    assert source.delete("users", frame(spark, [(99,)], schema[:1])) == 0 and files() == last
+
+
+def test_noted_change_of_a_lost_writer_is_finished(spark, tmp_path, monkeypatch):
+    source, files = stored_users(spark, tmp_path, 20)
+    schema = source.table("users").schema
+    finish = ParquetSource._finish
+    monkeypatch.setattr(ParquetSource, "_finish", lambda self, name: None)
+    assert source.upsert("users", frame(spark, [user(5, "Z")], schema)) == 1
+    assert {r.country for r in source.table("users").collect()} == {"X"}  # noted, not yet made
+    monkeypatch.setattr(ParquetSource, "_finish", finish)
+    got = {r.user_id: r.country for r in source.table("users").collect()}
+    assert len(got) == 20 and got[5] == "Z"
+    assert not list((tmp_path / "source" / "users").glob("_*-*"))
+
+
+def test_change_then_increment(spark, tmp_path, monkeypatch):
+    memory = MemorySource(spark)
+    for name in memory.rows:
+        memory.table(name).write.parquet(str(tmp_path / "source" / name))
+    monkeypatch.setattr("chronostar.__main__.build_session", lambda: spark)
+    common = ["--source", str(tmp_path / "source")]
+    stored = ["--warehouse", str(tmp_path / "w")]
+    main(["full", *common, *stored, "--batch-ts", T1])
+    frame(spark, [user(1, "Y"), user(7)], memory.table("users").schema).write.parquet(str(tmp_path / "new"))
+    main(["change", "users", *common, "--upsert", str(tmp_path / "new")])
+    spark.sql("SELECT 2 AS user_id").write.parquet(str(tmp_path / "gone"))
+    main(["change", "users", *common, "--delete", str(tmp_path / "gone")])
+    day = "add_months(trunc(current_date(), 'month'), -1)"
+    spark.sql(f"SELECT 1L AS sale_id, cast({day} AS timestamp_ntz) AS sale_date").write.parquet(str(tmp_path / "dates"))
+    main(["change", "sales", *common, "--update", str(tmp_path / "dates")])
+    main(["change", "sales", *common, "--double-last-month", "cost_in_rubbles", "sale_date"])
+    main(["inc", "20240202", *common, *stored])
+    store = Warehouse(spark, str(tmp_path / "w"))
+    assert rows(store.current("users"), "user_id", "country") == [(1, "Y"), (7, "X")]
+    assert rows(store.current("sales"), "sale_id", "cost_in_rubbles") == [(1, 200), (2, 100)]
+    assert store.closed("users").count() == 2 and store.closed("sales").count() == 1
+
+
 def test_command_line_runs_both_loads(spark, tmp_path, monkeypatch):
     memory = MemorySource(spark, user_traffic=[referral(1)])
     for name in memory.rows:
