@@ -74,6 +74,14 @@ def test_edges(docs):
     assert sorted(r.text or "" for r in kept.collect()) == ["", "a b", "c d e f g h"]
 
 
+def test_the_smallest_key_stays(spark):
+    rows = [(7, "a b c", 1), (3, "a b c", 2), (None, "a b c", 3), (5, "x y", 4), (None, None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row_number int").repartition(3)
+    kept = jaccard_join.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(r._row_number for r in kept.collect()) == [2, 4, 5]
+
+
 def test_shingles_and_signatures():
     texts = ["", "one", "a b c d e f", "A b, c d e f!", "a b c d e " * 50]
     sets = jaccard_join.shingle_sets(texts)
