@@ -17,6 +17,7 @@ from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from tokenizers import normalizers
 
 from chronostar.llm.common import map_texts
 
@@ -27,6 +28,21 @@ SHARED_TREE = 64
 REMEMBERED = 200_000
 _PLACE = 32
 
+# Letters and digits of Unicode 16, first and last of each run, that Unicode 15.1 does not have.
+NEWER = {
+    r"\p{L}": [
+        (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+        (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+        (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+        (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+    ],
+    r"\p{N}": [
+        (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+        (0x1E5F1, 0x1E5FA),
+    ],
+    r"\s": [],
+}
+
 
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
@@ -92,7 +108,8 @@ class WordVocabulary:
 
 @cache
 def character_classes(below: int) -> dict[str, str]:
-    """Letters, numbers and white space as sets for the standard library's patterns."""
+    """Letters, numbers and white space as sets for the standard library's patterns: those of Python's
+    Unicode version and of the newer one that the vocabularies' library reads patterns by."""
     kinds = [unicodedata.category(chr(c))[0] for c in range(below)]
     space = {*range(9, 14), 0x20, 0x85, *(c for c, k in enumerate(kinds) if k == "Z")}
     out = {}
@@ -101,14 +118,33 @@ def character_classes(below: int) -> dict[str, str]:
         (r"\p{N}", [k == "N" for k in kinds]),
         (r"\s", [c in space for c in range(below)]),
     ):
-        edges = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8)))
-        out[name] = "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist())
+        for a, b in NEWER[name]:
+            own[a : b + 1] = [True] * len(own[a : b + 1])
+        out[name] = _ranges(own)
     return out
 
 
+def _ranges(own: list[bool]) -> str:
+    """The code points marked, as ranges of a pattern's set."""
+    edges = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8)))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist())
+
+
+@cache
+def _unsettled() -> re.Pattern:
+    """Code points on whose normal form or case tables of two versions may differ: those that Python's
+    Unicode version does not know, and marks and composed characters later than Unicode 3.2."""
+    first = unicodedata.ucd_3_2_0
+
+    def late(c: str) -> bool:
+        kind = unicodedata.category(c)
+        return kind == "Cn" or first.category(c) == "Cn" and (kind[0] == "M" or unicodedata.decomposition(c) != "")
+
+    return re.compile(f"[{_ranges([late(chr(c)) for c in range(0x110000)])}]")
+
+
 def pattern_of(text: str, below: int = 0x110000) -> re.Pattern:
-    """A vocabulary's pattern for texts of code points under a bound, its classes written out:
-    Python's Unicode version holds, and characters that are newer count as no letters."""
+    """A vocabulary's pattern for texts of code points under a bound, its classes written out."""
     for name, chars in character_classes(below).items():
         text = text.replace(name, chars)
     return re.compile(text)
@@ -264,6 +300,17 @@ def lower(text: str) -> str:
     return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
 
 
+_LIKE_VOCABULARIES = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
+
+def normal(text: str) -> str:
+    """NFC and lower case. A text with a character that tables of different versions may treat differently
+    is given to the tables of the vocabularies' library."""
+    if not _is_latin(text) and _unsettled().search(text):
+        return _LIKE_VOCABULARIES.normalize_str(text)
+    return lower(unicodedata.normalize("NFC", text))
+
+
 def _is_latin(text: str) -> bool:
     try:
         text.encode("latin-1")
@@ -287,7 +334,7 @@ class Encoder:
             if part in self.model.special:
                 out.append(part)
             elif part:
-                part = lower(unicodedata.normalize("NFC", part))
+                part = normal(part)
                 out += (self.model.latin if _is_latin(part) else self.model.pattern).findall(part)
         return out
 

@@ -55,6 +55,17 @@ def test_ids_and_decoding_equal_the_library(forget, monkeypatch):
         assert encoder.decode(own) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_every_character_is_read_as_by_the_library():
+    encoder, library = bpe.Encoder(WORDS), Tokenizer.from_file(WORDS)
+    marks = "a\u0897\u0301 \U000113c2\U000113c2 \U0001611e\U0001611e\u0327 \U00016d67\U00016d67 e\u1ac1\u0323"
+    # Beyond these planes there are ideographs, private characters and none (all of them were compared once).
+    chars = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x20000), *range(0xE0000, 0xE0200))]
+    for start in range(0, len(chars), 50_000):
+        texts = [marks, *(f"ab{c}cd {c}{c}\u0301\u0323" for c in chars[start : start + 50_000])]
+        own, theirs = encoder.encode(texts), library.encode_batch(texts, add_special_tokens=False)
+        assert [t for t, a, b in zip(texts, own, theirs) if np.frombuffer(a, "<u4").tolist() != b.ids] == []
+
+
 def test_queries_on_whole_documents(spark):
     rows = {r["doc_id"]: r["text"] or "" for r in table(SF, "documents")}
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
