@@ -121,32 +121,28 @@ def _ends(parts: list[tuple[str, str, str]]) -> dict[int, int]:
     """For the place of each start tag, the place where its element ends: end tags that may be missing are implied."""
     ends: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
-    scopes: list[tuple[str, int, defaultdict]] = [("", -1, defaultdict(list))]  # name, height, heights by name
+    heights: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of each name
+
+    def innermost(names) -> int:
+        return max((heights[n][-1] for n in names if heights.get(n)), default=-1)
 
     def close(names, walls, at):
-        for scope, _, opened in reversed(scopes):
-            heights = [opened[n][-1] for n in names if opened.get(n)]
-            if heights:
-                while len(stack) > max(heights):
-                    name, start = stack.pop()
-                    ends[start] = at
-                    if scopes[-1][1] == len(stack):
-                        scopes.pop()
-                    scopes[-1][2][name].pop()
-                return
-            if walls is None or scope in walls:
-                return
+        """End the innermost element of some names, and all within it, if no wall stands between."""
+        height = innermost(names)
+        if height > innermost(walls):
+            while len(stack) > height:
+                name, start = stack.pop()
+                heights[name].pop()
+                ends[start] = at
 
     for at, (kind, name, _) in enumerate(parts):
         if kind == "open" and name not in VOID:
             if name in BLOCKS and name not in _CELLS:
-                close(["p"], None, at)
+                close(["p"], _SCOPES, at)
             if name in _ENDED:
-                close(_ENDED[name], {"table"} if name in _CELLS else None, at)
-            scopes[-1][2][name].append(len(stack))
+                close(_ENDED[name], {"table"} if name in _CELLS else _SCOPES, at)
+            heights[name].append(len(stack))
             stack.append((name, at))
-            if name in _SCOPES:
-                scopes.append((name, len(stack) - 1, defaultdict(list)))
         elif kind == "close":
             close([name], {"table"} if name in _CELLS else () if name in CONTENT or name == "table" else _WALLS, at)
     ends.update((start, len(parts)) for _, start in stack)
@@ -161,22 +157,27 @@ def _taken_out(parts: list[tuple[str, str, str]], ends: dict[int, int]) -> set[i
     """Places of marked elements that are not content: those with no more words than what is around them, in the
     content element or page, outside of other marked elements."""
     held = [0]  # words up to each place
-    direct: Counter[int] = Counter()  # words by the innermost marked element, and by content element where none is within
+    direct: Counter[int] = Counter()  # words whose innermost marked element this is, or, in a content element, that have none
     path: list[tuple[int, bool]] = [(-1, False)]  # open elements: place, is marked
-    above: dict[int, list[int]] = {}
+    above: dict[int, tuple[int, bool]] = {}  # what each marked element stands in
     skip = content = 0
+
+    def leave():
+        nonlocal content
+        place, marked = path.pop()
+        content -= not marked
+        if not marked:
+            direct[path[-1][0]] += direct[place]
+
     for at, (kind, name, text) in enumerate(parts):
         while len(path) > 1 and ends[path[-1][0]] <= at:
-            content -= not path.pop()[1]
+            leave()
         n = 0
         if name in CONTENT:
             skip = at
         if kind == "text" and at >= skip:
             n = len(text.split()) * (CONTENT_WORDS if content else 1)
-            for place, marked in reversed(path):
-                direct[place] += n
-                if marked:
-                    break
+            direct[path[-1][0]] += n
         elif kind == "open" and at in ends and at >= skip:
             if name in CONTENT:
                 path.append((at, False))
@@ -184,15 +185,15 @@ def _taken_out(parts: list[tuple[str, str, str]], ends: dict[int, int]) -> set[i
             elif _never(name, content):
                 skip = ends[at]
             elif name not in ("html", "body") and _is_marked(text):
-                around = []
-                for place, marked in reversed(path):
-                    around.append(place)
-                    if not marked:
-                        break
-                above[at] = around
+                above[at] = path[-1]
                 path.append((at, True))
         held.append(held[-1] + n)
-    return {at for at, around in above.items() if held[ends[at]] - held[at] <= sum(direct[x] for x in around)}
+    while len(path) > 1:
+        leave()
+    around: dict[int, int] = {}  # words of the marked elements around, and of what they stand in
+    for at, (place, marked) in above.items():
+        around[at] = direct[place] + (around[place] if marked else 0)
+    return {at for at in above if held[ends[at]] - held[at] <= around[at]}
 
 
 def _read(page: str):

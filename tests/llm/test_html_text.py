@@ -99,3 +99,11 @@ def test_edges(spark):
     got = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in html_text.extract(pages).collect())
     assert got == [(0, "v", "a", 1), (1, "u", "", 0), (2, "", "", 0), (2, "", "", 0)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_deep_pages_take_linear_time():
+    # Minutes each if every element walked those around it.
+    deep = "<article>y y y y " * 20_000
+    assert main_text(deep, Weights()).count("y") == 80_000
+    main_text("<div class=sidebar>x " * 20_000, Weights())
+    main_text("<li><td><p>z" * 20_000, Weights())
