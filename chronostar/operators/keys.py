@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronostar.functions.predicates import is_active
@@ -13,8 +13,17 @@ from chronostar.session import stage
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
+class TiedRows(ValueError):
+    """Rows that stand at the same place of an order that has to be total; three of them in ``args``."""
+
+
 def assign_keys(
-    df: DataFrame, sk: str, order: Sequence[str | Column], start: int = 0, path: str | None = None
+    df: DataFrame,
+    sk: str,
+    order: Sequence[str | Column],
+    start: int = 0,
+    path: str | None = None,
+    ties: Sequence[str] | None = None,
 ) -> tuple[DataFrame, int]:
     """Number the rows of ``df`` densely from ``start + 1`` in the given order.
 
@@ -27,21 +36,30 @@ def assign_keys(
     a column that is a tie for many rows has to be followed by one that is not.
 
     The write (to ``path``, or the session's staging folder) makes the sampled
-    bounds final: re-reading it cannot renumber rows.
+    bounds final: re-reading it cannot renumber rows. The bounds are sampled from
+    a first evaluation of ``df`` behind its last shuffle, which the write repeats.
+
+    ``ties`` names columns to report: then rows that tie in the order raise ``TiedRows`` with three of
+    them. Equal rows lie side by side in one range, so the check costs no shuffle of its own.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    if ties is not None:
+        ranged = ranged.withColumn("_tie", F.count(F.lit(1)).over(Window.partitionBy(*cols)) > 1)
     placed = stage(
-        df.repartitionByRange(*cols)
-        .sortWithinPartitions(*cols)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)),
+        ranged.withColumn("_part", F.spark_partition_id()).withColumn(
+            "_pos", F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
+        ),
         f"{sk}-keys",
         path,
     )
     # One row per non-empty partition: bounded by the partition count, never by the data.
-    sizes = placed.groupBy("_part").count().collect()
+    tied = F.count_if("_tie") if ties is not None else F.lit(0)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)), tied).collect()
+    if any(repeats for _, _, repeats in sizes):
+        raise TiedRows(placed.filter("_tie").select(*ties).limit(3).collect())
     offsets, last = [], start
-    for part, rows in sorted(sizes):
+    for part, rows, _ in sorted(sizes):
         offsets.append((part, last))
         last += rows
     offset = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _offset long"))

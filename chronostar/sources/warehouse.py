@@ -24,11 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronostar.functions.predicates import is_active
-from chronostar.operators.keys import assign_keys
+from chronostar.operators.keys import TiedRows, assign_keys
 from chronostar.operators.scd2 import CLASSES, CLOSED, KEPT, OPENED, STATE
 from chronostar.plans.entities import ENTITIES
 from chronostar.schemas import HISTORY, MONTH, STAR
-from chronostar.session import stage
 
 _EMPTY = {"version": 0, "runs": [], "tables": {}, "star": {}}
 _NEW_TABLE = {"current": [], "ended": [], "closed": [], "last_key": 0, "opened_rows": 0, "ended_rows": 0}
@@ -242,21 +241,23 @@ class Run:
         self._enter(table, path, last, counts)
 
     def load(self, table: str, rows: DataFrame, order: tuple) -> None:
-        """Write rows that are all newly opened, without the merge detour.
+        """Write rows that are all newly opened, without the merge detour; a row that ties with another in
+        the order fails the load.
 
-        They are staged first: numbering samples its input, which would read the source again.
+        Each row is written twice: in its place, and with its number.
         """
         path = f"{self.folder}/{table}/rows"
         before = self.store.last_key(table, self.manifest)
-        with self.scratch(f"{table}-rows") as scratch:
-            once = stage(rows, table, scratch)
-            last = self._append(table, once, path, order, before)
+        try:
+            last = self._append(table, rows, path, order, before, ENTITIES[table].key)
+        except TiedRows as tied:
+            raise ValueError(f"repeated source keys in {table}: {tied}") from tied
         self._enter(table, path, last, {"opened": last - before, "ended": 0})
 
-    def _append(self, table: str, opened: DataFrame, path: str, order: tuple, start: int) -> int:
+    def _append(self, table: str, opened: DataFrame, path: str, order: tuple, start: int, ties: tuple | None = None) -> int:
         entity = ENTITIES[table]
         with self.scratch(f"{table}-keys") as scratch:
-            keyed, last = assign_keys(opened, entity.sk, order, start, scratch)
+            keyed, last = assign_keys(opened, entity.sk, order, start, scratch, ties)
             state = F.when(is_active(), KEPT).otherwise(CLOSED).alias(STATE)
             rows = keyed.select(*entity.stored_schema.names, state)
             rows.write.mode("append").partitionBy(STATE).parquet(path)

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from support import OPEN, MemorySource, at, course, enrollment, extract, manager, referral, rows, sale, user
 
-from chronostar.operators import quality, scd2
+from chronostar.operators import keys, quality, scd2
 from chronostar.operators.keys import active
 from chronostar.plans import jobs
 from chronostar.plans.entities import COURSES, ENTITIES, USERS, Batch
@@ -399,6 +399,20 @@ def test_repeated_source_key_fails_both_loads(spark, store):
     with pytest.raises(Exception, match="repeated source key user_id"):
         incremental_load(store, twice, None, 2, T2, "inc")
     traffic = source.but(user_traffic=[referral(1), referral(1, campaign="B")])
+    with pytest.raises(ValueError, match="repeated source keys in user_traffic"):
+        full_load(store, traffic, None, T1, "traffic")
+    with pytest.raises(ValueError, match="repeated source keys in user_traffic"):
+        full_load(store, traffic, extract(spark, [referral(1, campaign="C")]), T1, "traffic-extract")
     with pytest.raises(ValueError, match="repeated source keys in user_traffic"):
         incremental_load(store, traffic, None, 2, T2, "inc")
     assert store.history("users").count() == 2
+
+
+def test_a_full_load_writes_each_row_twice(spark, store, monkeypatch):
+    # Into its place of the order, and with its number.
+    staged = []
+    written = keys.stage
+    monkeypatch.setattr(keys, "stage", lambda df, label, path: staged.append(label) or written(df, label, path))
+    monkeypatch.setattr(jobs, "stage", lambda df, label, path: staged.append(label) or written(df, label, path))
+    full_load(store, MemorySource(spark), None, T1, "full")
+    assert sorted(staged) == sorted(["latest", *(f"{e.sk}-keys" for e in ENTITIES.values())])

@@ -10,7 +10,7 @@ from support import OPEN, at, frame, rows, user
 from chronostar.functions.dates import batch_id_from_date, previous_month, weekday
 from chronostar.functions.predicates import differs_null_as_empty, is_distinct_from
 from chronostar.operators import mutations, quality, star
-from chronostar.operators.keys import assign_keys
+from chronostar.operators.keys import TiedRows, assign_keys
 from chronostar.plans import reports
 from chronostar.plans.entities import USER_TRAFFIC, USERS
 from chronostar.schemas import HISTORY, SOURCE, STAR, Col, ForeignKey, Table
@@ -42,6 +42,24 @@ def test_a_hot_leading_value_spreads_over_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
 
 
+def test_rows_that_tie_are_found_without_a_shuffle_of_their_own(spark, monkeypatch):
+    from chronostar.operators import keys
+
+    plans = []
+    written = keys.stage
+    monkeypatch.setattr(keys, "stage", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or written(df, *a))
+    df = spark.range(9000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"), F.lit("x").alias("c"))
+    numbered, last = assign_keys(df, "sk", ("a", "b"), ties=("b",))
+    assert last == 9000 and sorted(numbered.columns) == ["a", "b", "c", "sk"]
+    assert plans[0].count("Exchange") == 1 and plans[0].count("Sort ") == 1 and "Window" in plans[0]
+    with pytest.raises(TiedRows, match="b=77"):
+        assign_keys(df.union(df.filter("b = 77")), "sk", ("a", "b"), ties=("b",))
+    nulls = spark.createDataFrame([(None, 1), (None, 2)], "a int, b int")
+    with pytest.raises(TiedRows, match="a=None"):
+        assign_keys(nulls, "sk", ("a",), ties=("a",))
+    assert assign_keys(spark.range(0), "sk", ("id",), ties=("id",))[1] == 0
+
+
 def test_keys_of_nothing(spark):
     numbered, last = assign_keys(spark.range(0), "sk", ("id",), 5)
     assert last == 5 and numbered.count() == 0
