@@ -1,7 +1,8 @@
 """A warehouse loaded from the test tables: the full load, then one incremental run.
 
 Built once per session and data folder under the shared staging folder, by the
-same jobs a deployment runs.
+steps of the jobs a deployment runs. A query that reads some tables takes the steps of those and of what
+they build on; one that asks for the whole state (``finished``) takes all.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from chronostar.operators.keys import active, assign_keys
 from chronostar.operators.scd2 import CLOSED, KEPT, OPENED, STATE, TIE, merge_rows
 from chronostar.operators.traffic import KEY, PASS, SEQ, merge_extract
 from chronostar.plans.entities import USER_TRAFFIC, Batch, Entity
-from chronostar.plans.jobs import AS_LOADED, full_load, incremental_load, rebuild_star, source_rows
+from chronostar.plans.jobs import AS_LOADED, Load, full_steps, incremental_steps, rebuild_steps, source_rows
 from chronostar.schemas import CSV_AUDIT
 from chronostar.session import stage, staging_root, tune
 from chronostar.sources.fixtures import FixtureSource
@@ -27,6 +28,51 @@ FULL_ID, INC_ID = 1, 20240202
 LITERAL = {"key_mode": AS_LOADED, "unknown_members": False}
 
 
+class Unfolding(Warehouse):
+    """The state that a load leads to: a table's steps are taken when it is first read."""
+
+    def __init__(self, load: Load, after: Unfolding | None = None) -> None:
+        super().__init__(load.run.store.spark, load.run.store.root)
+        self.load = load
+        self._after = after  # the state before, if it is published in the same folder
+        self._finished: Warehouse | None = None
+
+    def _made(self, table: str) -> dict:
+        self.load.need(table)
+        return self.load.run.manifest
+
+    def current(self, table: str, manifest: dict | None = None) -> DataFrame:
+        return super().current(table, manifest or self._made(table))
+
+    def closed(self, table: str, manifest: dict | None = None) -> DataFrame:
+        return super().closed(table, manifest or self._made(table))
+
+    def stored(self, table: str) -> DataFrame:
+        manifest = self._made(table)
+        return self.current(table, manifest).unionByName(self.closed(table, manifest))
+
+    def last_key(self, table: str, manifest: dict | None = None) -> int:
+        return super().last_key(table, manifest or self._made(table))
+
+    def star(self, table: str, manifest: dict | None = None, by_month: bool = False) -> DataFrame:
+        return super().star(table, manifest or self._made(table), by_month)
+
+    def manifest(self) -> dict:
+        return self.finished().manifest()
+
+    def finished(self) -> Warehouse:
+        """The state after the whole load, all steps taken and published."""
+        if not self._finished:
+            run = self.load.run
+            if self._after:
+                published = self._after.manifest()
+                run.manifest |= {"version": published["version"], "runs": published["runs"]}
+            self.load.need()
+            run.commit()
+            self._finished = Warehouse(self.spark, self.root, as_of=run.manifest["version"])
+        return self._finished
+
+
 class Lab:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = tune(spark)
@@ -38,26 +84,24 @@ class Lab:
         self._root = f"{staging_root(spark)}/lab-{uuid.uuid4().hex[:12]}"
 
     @cached_property
-    def loaded(self) -> Warehouse:
+    def loaded(self) -> Unfolding:
         """State after the full load."""
-        store = Warehouse(self.spark, self._root)
-        full_load(store, self.first, self.first.extract(), FULL_TS, "full", **LITERAL)
-        return Warehouse(self.spark, self._root, as_of=1)
+        run = Warehouse(self.spark, self._root).begin("full", truncate=True)
+        return Unfolding(full_steps(run, self.first, self.first.extract(), FULL_TS, **LITERAL))
 
     @cached_property
-    def merged(self) -> Warehouse:
+    def merged(self) -> Unfolding:
         """State after the incremental run."""
-        assert self.loaded
-        store = Warehouse(self.spark, self._root)
-        incremental_load(store, self.second, self.second.extract(), INC_ID, INC_TS, "incremental", **LITERAL)
-        return Warehouse(self.spark, self._root, as_of=2)
+        run = Warehouse(self.spark, self._root).begin("incremental")
+        extract = self.second.extract()
+        load = incremental_steps(run, self.second, extract, INC_ID, INC_TS, **LITERAL, before=self.loaded.load)
+        return Unfolding(load, self.loaded)
 
     @cached_property
-    def complete(self) -> Warehouse:
+    def complete(self) -> Unfolding:
         """The merged state with the star as loads make it by default: current keys, unknown members."""
-        store = self.merged.branch(f"{self._root}-complete")
-        rebuild_star(store, "complete")
-        return store
+        run = Warehouse(self.spark, f"{self._root}-complete").begin("complete")
+        return Unfolding(rebuild_steps(run, before=self.merged.load))
 
     # --- inputs of the second snapshot's merge --------------------------------
 

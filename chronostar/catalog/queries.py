@@ -309,21 +309,22 @@ def join_scalar_subquery(env: Lab) -> DataFrame:
 
 @query("agg_row_counts")
 def agg_row_counts(env: Lab) -> DataFrame:
-    return row_counts(env.merged)
+    return row_counts(env.merged.finished())
 
 
 @query("full_load")
 def full_load_counts(env: Lab) -> DataFrame:
     """Row counts after the full load job."""
-    return row_counts(env.loaded)
+    return row_counts(env.loaded.finished())
 
 
 @query("incremental_load")
 def incremental_load_rows(env: Lab) -> DataFrame:
     """Open, closed and batch-touched versions per table after the incremental job."""
     parts = []
+    store = env.merged.finished()
     for table in HISTORY:
-        counted = env.merged.history(table).agg(
+        counted = store.history(table).agg(
             F.count_if(is_active()).alias("open"),
             F.count_if(~is_active()).alias("closed"),
             F.count_if(F.coalesce(touched_by(INC_ID), F.lit(False))).alias("touched"),
@@ -631,8 +632,9 @@ def dq_source_rules(env: Lab) -> DataFrame:
 @query("dq_declared_rules")
 def dq_declared_rules(env: Lab) -> DataFrame:
     """Every declared rule of the history and star tables after the incremental load."""
-    history = {t: env.merged.history(t) for t in HISTORY}
-    stars = {t: env.merged.star(t) for t in STAR}
+    store = env.merged.finished()
+    history = {t: store.history(t) for t in HISTORY}
+    stars = {t: store.star(t) for t in STAR}
     parts = [quality.check_table(df, HISTORY[t], history) for t, df in history.items()]
     parts += [quality.check_table(df, STAR[t], stars) for t, df in stars.items()]
     return reduce(DataFrame.unionByName, parts)

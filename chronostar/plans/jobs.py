@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from chronostar.operators.keys import resolve_parents
 from chronostar.operators.quality import repeated_keys
 from chronostar.operators.scd2 import TIE, acting_pairs, denormalise_courses, fates, initial_rows, with_parents
 from chronostar.operators.star import (
+    CALENDAR_COLUMNS,
     DIMENSIONS,
     calendar,
     date_bounds,
@@ -73,6 +75,69 @@ def _together(step: Callable[[str], None], tables: Iterable[str], after: dict[st
         finished.result()
 
 
+class Load:
+    """The steps of a run, by the table that each brings up to date.
+
+    ``after`` names for each step the tables that it reads as this run leaves them; a step comes after those. A
+    table without a step stays as it was before. Jobs take all steps at once (``need()``); a caller that reads
+    some tables only names them, and every step that these build on is taken, once.
+
+    ``before`` is the load whose result this one starts from, where that is not taken whole either: its
+    tables are asked for as steps come to them, but for those that ``anew`` names, which are written without a look
+    at what was there.
+    """
+
+    def __init__(
+        self,
+        run: Run,
+        steps: dict[str, Callable[[], None]],
+        after: dict[str, list[str]],
+        before: Load | None = None,
+        anew: Callable[[], set[str]] = set,
+    ):
+        self.run, self.before = run, before
+        self._steps, self._after, self._anew = steps, after, anew
+        self._done: set[str] = set()
+        if before:
+            run.before["star"]["made"] = before.run.manifest["star"]["made"]
+
+    def need(self, *tables: str) -> None:
+        """Take the steps of these tables (of all, if none is named) that have not been taken."""
+        wanted = self._closed(tables or (*HISTORY, *STAR))
+        if self.before and (old := wanted - self._anew()):
+            self.before.need(*old)
+            for table in old:
+                self._take_over(table)
+        pending = [t for t in self._steps if t in wanted]
+        if pending:
+            _together(self._step, pending, {t: [o for o in self._after[t] if o in pending] for t in pending})
+        self._done |= wanted
+
+    def _closed(self, tables: Iterable[str]) -> set[str]:
+        """These tables and all that they build on, without those done."""
+        found, look = set(), list(tables)
+        while look:
+            table = look.pop()
+            if table not in found and table not in self._done:
+                found.add(table)
+                look += self._after.get(table, [])
+        return found
+
+    def _take_over(self, table: str) -> None:
+        layer = "tables" if table in HISTORY else "star"
+        if table in self.before.run.manifest[layer]:
+            for manifest in (self.run.manifest, self.run.before):
+                manifest[layer][table] = copy.deepcopy(self.before.run.manifest[layer][table])
+
+    def _step(self, table: str) -> None:
+        try:
+            self._steps[table]()
+        except BaseException:
+            self.run.move()  # what is tried again never meets the files of this attempt
+            raise
+        self._done.add(table)
+
+
 def _parents(run: Run, entity: Entity) -> dict[str, DataFrame]:
     return {p.table: run.current(p.table) for p in entity.parents}
 
@@ -101,7 +166,22 @@ def full_load(
     """
     if store.has_run(run_id):
         return {}
-    run = store.begin(run_id, truncate=True)
+    load = full_steps(store.begin(run_id, truncate=True), source, extract, batch_ts, batch_id, key_mode, unknown_members)
+    load.need()
+    load.run.commit()
+    return load.run.counts
+
+
+def full_steps(
+    run: Run,
+    source,
+    extract: DataFrame | None,
+    batch_ts: str,
+    batch_id: int = FULL_BATCH_ID,
+    key_mode: str = CURRENT,
+    unknown_members: bool = True,
+) -> Load:
+    """The full load's steps."""
     batch = Batch(batch_id, batch_ts)
 
     def load(table: str) -> None:
@@ -115,11 +195,11 @@ def full_load(
             order = (entity.audit, *KEY, SEQ)
         run.load(table, rows, order)
 
-    _together(load, ENTITIES, PARENTS)
-    bounds = overall_bounds(date_bounds({t: run.current(t) for t in ENTITIES}))
-    _write_star(run, calendar(bounds), key_mode, unknown_members, False)
-    run.commit()
-    return run.counts
+    def days() -> DataFrame:
+        return calendar(overall_bounds(date_bounds({t: run.current(t) for t in ENTITIES})))
+
+    star, after, _ = _star_steps(run, days, list(CALENDAR_COLUMNS), key_mode, unknown_members, False)
+    return Load(run, {t: partial(load, t) for t in ENTITIES} | star, PARENTS | after)
 
 
 def incremental_load(
@@ -144,7 +224,23 @@ def incremental_load(
     """
     if store.has_run(run_id):
         return {}
-    run = store.begin(run_id)
+    load = incremental_steps(store.begin(run_id), source, extract, batch_id, batch_ts, key_mode, unknown_members)
+    load.need()
+    load.run.commit()
+    return load.run.counts
+
+
+def incremental_steps(
+    run: Run,
+    source,
+    extract: DataFrame | None,
+    batch_id: int,
+    batch_ts: str,
+    key_mode: str = CURRENT,
+    unknown_members: bool = True,
+    before: Load | None = None,
+) -> Load:
+    """The incremental load's steps."""
     batch = Batch(batch_id, batch_ts)
 
     def merge(table: str) -> None:
@@ -163,11 +259,11 @@ def incremental_load(
         if entity is USER_TRAFFIC and extract is not None:
             land_extract(run, extract, Batch(batch_id, batch_ts, CSV_AUDIT))
 
-    _together(merge, ENTITIES, PARENTS)
-    days = extend_calendar(run.star("dim_date"), run.current("sales"), batch_id) if run.touched("sales") else None
-    _write_star(run, days, key_mode, unknown_members, True)
-    run.commit()
-    return run.counts
+    def days() -> DataFrame | None:
+        return extend_calendar(run.star("dim_date"), run.current("sales"), batch_id) if run.touched("sales") else None
+
+    star, after, anew = _star_steps(run, days, ["sales"], key_mode, unknown_members, True)
+    return Load(run, {t: partial(merge, t) for t in ENTITIES} | star, PARENTS | after, before, anew)
 
 
 def rebuild_star(
@@ -176,9 +272,15 @@ def rebuild_star(
     """Derive dimensions and fact anew from the stored history; the calendar stays as it is."""
     if store.has_run(run_id):
         return
-    run = store.begin(run_id)
-    _write_star(run, None, key_mode, unknown_members, True)
-    run.commit()
+    load = rebuild_steps(store.begin(run_id), key_mode, unknown_members)
+    load.need()
+    load.run.commit()
+
+
+def rebuild_steps(run: Run, key_mode: str = CURRENT, unknown_members: bool = True, before: Load | None = None) -> Load:
+    """The steps that derive the star anew."""
+    steps, after, anew = _star_steps(run, lambda: None, [], key_mode, unknown_members, True)
+    return Load(run, steps, after, before, anew)
 
 
 def load_extract(
@@ -212,35 +314,50 @@ def land_extract(run: Run, extract: DataFrame, batch: Batch) -> None:
         run.land("user_traffic", rows, (PASS, *KEY, SEQ), label="extract")
 
 
-def _write_star(
+def _star_steps(
     run: Run,
-    days: DataFrame | None,
+    days: Callable[[], DataFrame | None],
+    dated: list[str],
     key_mode: str,
     unknown_members: bool,
     active_enrollments_only: bool,
-) -> None:
-    """Bring dimensions, calendar and fact up to date.
+) -> tuple[dict[str, Callable[[], None]], dict[str, list[str]], Callable[[], set[str]]]:
+    """The steps that bring dimensions, calendar and fact up to date, what they come after, and which write anew.
 
     Dropping a batch's touched keys, adding its open versions and filling in
     missing members always ends at one row per open version, so a dimension whose table has changed
     is projected from the open versions; no join, and no read of closed history. What the run leaves
-    as it was is not written. ``days`` is the calendar, None if it stays.
+    as it was is not written. ``days`` gives the calendar, None if it stays; ``dated`` are the tables it is made of.
     """
     made = {"key_mode": key_mode, "unknown_members": unknown_members}
-    alike = run.manifest["star"].get("made") == made
+
+    def alike() -> bool:
+        return run.before["star"].get("made") == made
+
     run.manifest["star"]["made"] = made
 
+    def write_days() -> None:
+        found = days()
+        if found is not None and (not alike() or _span(found) != _span(run.star("dim_date"))):
+            run.write_star("dim_date", found)
+
     def write(name: str) -> None:
-        if name == "dim_date":
-            if days is not None and (not alike or _span(days) != _span(run.star(name))):
-                run.write_star(name, days)
-        elif name == "fact_sales":
-            _bring_fact(run, key_mode, active_enrollments_only, whole=not alike)
-        elif not alike or run.touched(DIMENSIONS[name][0]) or name not in run.manifest["star"]:
+        if not alike() or run.touched(DIMENSIONS[name][0]) or name not in run.manifest["star"]:
             dim = dimension(name, run.current(DIMENSIONS[name][0]))
             run.write_star(name, with_unknown_member(name, dim) if unknown_members else dim)
 
-    _together(write, ("dim_date", "fact_sales", *DIMENSIONS), {"fact_sales": ["dim_date"]})
+    steps = {
+        "dim_date": write_days,
+        "fact_sales": lambda: _bring_fact(run, key_mode, active_enrollments_only, whole=not alike()),
+        **{name: partial(write, name) for name in DIMENSIONS},
+    }
+    read = list(ENTITIES) if key_mode == CURRENT else ["sales", "enrollments", "user_traffic"]
+    after = {"dim_date": dated, "fact_sales": ["dim_date", *read], **{n: [t] for n, (t, _) in DIMENSIONS.items()}}
+
+    def anew() -> set[str]:
+        return set() if alike() and key_mode == CURRENT else {"fact_sales"} if alike() else {"fact_sales", *DIMENSIONS}
+
+    return steps, after, anew
 
 
 def _span(days: DataFrame) -> tuple:

@@ -210,10 +210,13 @@ class Run:
     counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        # A repeated attempt of the same run never meets files of an earlier one.
-        self.folder = f"{self.store.root}/runs/{self.run_id}-{uuid.uuid4().hex[:8]}"
+        self.move()
         self.before = copy.deepcopy(self.manifest)
 
+    def move(self) -> None:
+        """Write to a new folder from here on: a repeated attempt of the same run never meets files of an earlier one."""
+        self.folder = f"{self.store.root}/runs/{self.run_id}-{uuid.uuid4().hex[:8]}"
+
     def land(self, table: str, rows: DataFrame, order: tuple = (), label: str = "rows") -> None:
         """Write the opened and ended rows of a merge once, then number the opened ones.
 
