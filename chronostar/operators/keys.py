@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronostar.functions.predicates import is_active
-from chronostar.session import stage
+from chronostar.session import COMPACT, stage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -52,6 +52,7 @@ def assign_keys(
         ),
         f"{sk}-keys",
         path,
+        **COMPACT,
     )
     # One row per non-empty partition: bounded by the partition count, never by the data.
     tied = F.count_if("_tie") if ties is not None else F.lit(0)

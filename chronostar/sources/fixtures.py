@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chronostar.operators.traffic import KEY
 from chronostar.schemas import SOURCE
+from chronostar.session import COMPACT, stage, stage_path
 from chronostar.sources.extracts import with_sequence
 from chronostar.sources.tables import conform
 
@@ -20,6 +22,10 @@ from chronostar.sources.tables import conform
 #: Room for the repeats of a line number in the id of an order line; more of them fail.
 LINE_REPEATS = 100_000
 
+#: Where the numbered lines of a session's data folder are written, and their schema.
+_LINES: dict[tuple[str, str], tuple] = {}
+_LOCK = Lock()
+
 
 def _day(base: str, offset: Column) -> Column:
     return F.date_add(F.lit(base).cast("date"), offset.cast("int")).cast("timestamp_ntz")
@@ -119,14 +125,28 @@ class FixtureSource:
             )
         )
 
-    def _lines(self) -> DataFrame:
-        """All order lines; a line number that repeats in its order is counted on in the id's last digits."""
+    def _numbered_lines(self) -> DataFrame:
+        """All order lines with the orders of their key; a line number that repeats in its order is counted on in
+        the id's last digits. The rows are dealt by order once, for the join and for counting."""
         rest = ("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
         repeat = F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy(*rest)) - 1
         full = F.raise_error(F.concat(F.lit(f"over {LINE_REPEATS} repeats of a line of order "), F.col("l_orderkey")))
         repeat = F.when(repeat < LINE_REPEATS, repeat).otherwise(full.cast("int"))
         number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * LINE_REPEATS + repeat
-        return self._read("lineitem").select(number.alias("id"), "l_orderkey", *rest)
+        order = F.struct("o_custkey", "o_orderdate", "o_orderstatus")
+        orders = self._read("orders").groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(F.collect_list(order).alias("orders"))
+        lines = self._read("lineitem").select("l_orderkey", "l_linenumber", *rest).join(orders, "l_orderkey", "left")
+        return lines.select(number.alias("id"), "l_orderkey", *rest[:-1], "orders")
+
+    def _lines(self) -> DataFrame:
+        """The numbered lines, written once for both snapshots and both tables that are made of them."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        with _LOCK:
+            if key not in _LINES:
+                path = stage_path(self.spark, "lines")
+                _LINES[key] = path, stage(self._numbered_lines(), "lines", path, **COMPACT).schema
+        path, schema = _LINES[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def _kept(self, orderkey: str) -> Column:
         return F.lit(True) if self._second else F.col(orderkey) % 50 != 49
@@ -135,10 +155,9 @@ class FixtureSource:
         status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "cancelled")
         if self._second:
             status = status.when(F.col("o_orderkey") % 8 == 1, "completed")
-        orders = self._read("orders").filter(self._kept("o_orderkey"))
+        lines = self._lines().filter(self._kept("l_orderkey"))
         return (
-            self._lines()
-            .join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
+            lines.select("id", F.col("l_orderkey").alias("o_orderkey"), "l_partkey", F.inline("orders"))
             .select(
                 F.col("id").alias("enrollment_id"),
                 F.col("o_custkey").alias("user_id"),

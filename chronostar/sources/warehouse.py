@@ -28,6 +28,7 @@ from chronostar.operators.keys import TiedRows, assign_keys
 from chronostar.operators.scd2 import CLASSES, CLOSED, KEPT, OPENED, STATE
 from chronostar.plans.entities import ENTITIES
 from chronostar.schemas import HISTORY, MONTH, STAR
+from chronostar.session import COMPACT
 
 _EMPTY = {"version": 0, "runs": [], "tables": {}, "star": {}}
 _NEW_TABLE = {"current": [], "ended": [], "closed": [], "last_key": 0, "opened_rows": 0, "ended_rows": 0}
@@ -224,7 +225,7 @@ class Run:
         nothing to speak of where nothing has.
         """
         path = f"{self.folder}/{table}/{label}"
-        rows.filter(F.col(STATE) != KEPT).write.partitionBy(STATE).parquet(path)
+        rows.filter(F.col(STATE) != KEPT).write.options(**COMPACT).partitionBy(STATE).parquet(path)
         columns = T.StructType([f for f in rows.schema if f.name != STATE])
         written = self.store.spark.read.schema(rows.schema).parquet(path)
         kinds = {"opened": F.col(STATE) == OPENED, "ended": F.col(STATE) == CLOSED}
@@ -263,7 +264,7 @@ class Run:
             keyed, last = assign_keys(opened, entity.sk, order, start, scratch, ties)
             state = F.when(is_active(), KEPT).otherwise(CLOSED).alias(STATE)
             rows = keyed.select(*entity.stored_schema.names, state)
-            rows.write.mode("append").partitionBy(STATE).parquet(path)
+            rows.write.options(**COMPACT).mode("append").partitionBy(STATE).parquet(path)
         return last
 
     def _count(self, table: str, counts: dict[str, int]) -> None:
@@ -304,12 +305,12 @@ class Run:
         if ended <= min(ENDED_ROWS, ENDED_SHARE * opened) and folders <= FOLDERS:
             return
         path = f"{self.folder}/{table}/compact"
-        self.current(table).write.parquet(path)
+        self.current(table).write.options(**COMPACT).parquet(path)
         entry |= {"current": [path], "ended": [], "opened_rows": max(0, opened - ended), "ended_rows": 0}
         recent = entry["closed"][-FOLDERS:]
         if len(recent) == FOLDERS:
             merged = f"{self.folder}/{table}/compact-closed"
-            self.store._read(table, recent).write.parquet(merged)
+            self.store._read(table, recent).write.options(**COMPACT).parquet(merged)
             entry["closed"] = [*entry["closed"][:-FOLDERS], merged]
 
     @contextmanager
@@ -329,7 +330,7 @@ class Run:
 
     def write_star(self, table: str, df: DataFrame) -> None:
         path = f"{self.folder}/star/{table}"
-        df.select(*STAR[table].names).write.parquet(path)
+        df.select(*STAR[table].names).write.options(**COMPACT).parquet(path)
         self.manifest["star"][table] = path
 
     def write_fact(self, fact: DataFrame, replaced: list[int] | None = None) -> None:
@@ -341,7 +342,8 @@ class Run:
         path = f"{self.folder}/star/fact_sales"
         month = F.call_function("div", F.col("date_key"), F.lit(100)).cast("int").alias(MONTH)
         rows = fact.select(*STAR["fact_sales"].names, month)
-        rows.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "date_key").write.partitionBy(MONTH).parquet(path)
+        sorted_rows = rows.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "date_key")
+        sorted_rows.write.options(**COMPACT).partitionBy(MONTH).parquet(path)
         stays = {} if replaced is None else dict(self.manifest["star"].get("fact_sales") or {})
         for number in replaced or ():
             stays.pop(str(number), None)

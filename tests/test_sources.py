@@ -272,3 +272,34 @@ def test_two_runs_cannot_publish_the_same_version(spark, store):
     store.commit(first)
     with pytest.raises(RuntimeError, match="another run was faster"):
         store.commit(second)
+
+
+def test_order_lines_are_numbered_once_for_both_snapshots(spark, tmp_path, monkeypatch):
+    from datetime import datetime
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from chronostar.sources.fixtures import FixtureSource
+
+    day = datetime(1996, 1, 2)
+    lines = [(1, 1, 7), (1, 1, 5), (1, 2, 5), (49, 1, 5), (9, 1, 5), (None, 1, 5)]  # order 9 is unknown, 1 comes twice
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"]
+    columns = [*zip(*[(*line, 3, day, 10.5, 2.0) for line in lines])]
+    pq.write_table(pa.table([pa.array(c) for c in columns], names=names), f"{tmp_path}/lineitem.parquet")
+    orders = {"o_orderkey": [1, 1, 49], "o_custkey": [4, 6, 4], "o_orderdate": [day] * 3, "o_orderstatus": ["F", "O", "P"]}
+    pq.write_table(pa.table(orders), f"{tmp_path}/orders.parquet")
+    made = []
+    numbered = FixtureSource._numbered_lines
+    monkeypatch.setattr(FixtureSource, "_numbered_lines", lambda self: made.append(1) or numbered(self))
+
+    def found(snapshot, table, *columns):
+        return sorted(map(tuple, FixtureSource(spark, str(tmp_path), snapshot).table(table).select(*columns).collect()), key=str)
+
+    first = [(i, u, c) for i, c in ((1100000, 5), (1100001, 7), (1200000, 5)) for u in (4, 6)]
+    assert found(1, "enrollments", "enrollment_id", "user_id", "course_id") == first
+    assert found(2, "enrollments", "enrollment_id", "user_id", "course_id") == sorted([*first, (49100000, 4, 5)], key=str)
+    ids = [1100000, 1100001, 1200000, 9100000]
+    assert found(1, "sales", "sale_id") == [(i,) for i in ids]
+    assert found(2, "sales", "sale_id") == [(i,) for i in sorted([*ids, 49100000], key=lambda i: str((i,)))] + [(None,)]
+    assert made == [1]
