@@ -341,8 +341,11 @@ def _pivot_edges(sets: DataFrame, similarity: float) -> DataFrame:
     level = stage(_split(sets.select("set", "signature"), list(range(FIRST_RUNS))), "level")
     drawn = [F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("order"), "set"))["set"] for k in range(PIVOTS)]
     large = level.groupBy("node").agg(F.count("*").alias("size"), F.array(*drawn).alias("pivots")).filter(F.col("size") > SMALL)
-    large = stage(large.select("node", F.explode(F.array_distinct("pivots")).alias("pivot")), "pivots")
-    pairs = level.join(_small(large), "node").filter("set != pivot").select("pivot", "set").distinct()
+    # A row for each set and large bucket, whatever the pivots: buckets with like members have like pivots, so a set
+    # meets each pivot once, after its buckets' pivots are put together.
+    large = stage(large.select("node", "pivots"), "pivots")
+    met = level.join(_small(large), "node").groupBy("set").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+    pairs = met.select(F.explode("pivots").alias("pivot"), "set").filter("set != pivot")
     pairs = stage(pairs, "pivot-pairs")
     centres = sets.select(F.col("set").alias("pivot"), F.col("signature").alias("other"))
     centres = stage(centres.join(pairs.select("pivot").distinct(), "pivot", "left_semi"), "centres")

@@ -143,3 +143,23 @@ def test_memory_of_a_tile():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert not len(a) and peak < 70e6
+
+
+def test_a_set_meets_a_bucket_once_whatever_its_pivots(docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base, f"x{rnd.randrange(1000)}"])) for i in range(40)]
+    staged, stage = {}, jaccard_join.stage
+
+    def spy(df, label, *rest):
+        return staged.setdefault(label, stage(df, label, *rest))
+
+    monkeypatch.setattr(jaccard_join, "stage", spy)
+    sets = stage(jaccard_join._sets(docs(rows), "doc_id", "text", full=False).selectExpr("set", "data AS signature").distinct(), "sets")
+    edges = jaccard_join._pivot_edges(sets, 0.8)
+    nodes = [r["node"] for r in staged["pivots"].collect()]
+    assert nodes and len(nodes) == len(set(nodes))
+    pairs = [tuple(r) for r in staged["pivot-pairs"].select("pivot", "set").collect()]
+    assert len(pairs) == len(set(pairs)) and all(a != b for a, b in pairs)
+    assert {x for r in edges.collect() for x in r} == {r["set"] for r in sets.collect()}
