@@ -366,9 +366,10 @@ def _placed(level: DataFrame, sizes: DataFrame) -> DataFrame:
     """Sets of the buckets that still have something to compare: node, set, label, large and the parts of its tiles.
 
     Large is a bucket with more open pairs (of sets that are not connected) than SMALL for each set. The sets
-    with a bucket's most frequent label are its parts 0 to p - 1, the others the next q parts.
+    with a bucket's most frequent label are its parts 0 to p - 1, the others the next q parts. Rows that met their
+    bucket are written, as the labels of large buckets are counted from the same rows.
     """
-    live = level.join(_small(sizes), "node")
+    live = stage(level.join(_small(sizes), "node"), "open")
     own = F.coalesce("label", "set")
     labels = live.filter(F.col("size") > SMALL).groupBy("node", own.alias("own")).agg(F.count("*").alias("n"))
     tops = labels.groupBy("node").agg(F.max(F.struct("n", "own")).alias("top"), F.sum(F.col("n") * F.col("n")).alias("same"))

@@ -163,3 +163,22 @@ def test_a_set_meets_a_bucket_once_whatever_its_pivots(docs, monkeypatch):
     pairs = [tuple(r) for r in staged["pivot-pairs"].select("pivot", "set").collect()]
     assert len(pairs) == len(set(pairs)) and all(a != b for a, b in pairs)
     assert {x for r in edges.collect() for x in r} == {r["set"] for r in sets.collect()}
+
+
+def test_a_level_meets_its_buckets_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    joined, stage = [], jaccard_join.stage
+    rows = [(n, b"%d" % s, b"0" if s < 3 else None) for n, size in ((1, 9), (2, 3)) for s in range(size)]
+    level = stage(spark.createDataFrame(rows, "node long, set binary, label binary"), "level")
+    sizes = stage(spark.createDataFrame([(1, 9)], "node long, size long"), "sizes")
+
+    def spy(df, label, *rest):
+        joined.append(df)
+        return stage(df, label, *rest)
+
+    monkeypatch.setattr(jaccard_join, "stage", spy)
+    placed = jaccard_join._placed(level, sizes)
+    got = sorted((r["node"], bytes(r["set"]), r["large"], r["common"], r["p"], r["q"]) for r in placed.collect())
+    assert got == [(1, b"%d" % s, True, s < 3, 1, 1) for s in range(9)]
+    files = set(level.inputFiles())
+    assert sum(bool(files & set(df.inputFiles())) for df in [*joined, placed]) == 1
