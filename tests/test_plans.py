@@ -9,7 +9,7 @@ from chronostar.operators import scd2, star
 from chronostar.operators.keys import resolve_parents
 from chronostar.plans import reports
 from chronostar.plans.entities import ENROLLMENTS, ENTITIES, USER_TRAFFIC, USERS, Batch
-from chronostar.session import stage, tune
+from chronostar.session import stage, stage_compact, tune
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -154,6 +154,42 @@ def test_hot_parent_is_split(spark, tiny_skew):
     assert out.count() == 30000
 
 
+def test_parents_are_sent_to_all_tasks_by_the_size_of_their_rows(spark, tmp_path):
+    """100,000 courses have 0.4 MB in their file and 7 in a hash table; the driver would build it."""
+    key, end = F.col("id"), F.col("open")
+    courses = versions(spark, ENTITIES["courses"], 100000, course_sk=key, course_id=key, end_date=end)
+    users = versions(spark, USERS, 100000, user_sk=key, user_id=key, end_date=end)
+    parents = {t: stage_compact(df, t, str(tmp_path / t)) for t, df in (("courses", courses), ("users", users))}
+    few = {t: stage_compact(df.filter(f"{t[:-1]}_id < 100"), t, str(tmp_path / f"few-{t}")) for t, df in parents.items()}
+    children = spark.range(1000000).select(
+        key.alias("enrollment_id"),
+        key.alias("user_id"),
+        key.alias("course_id"),
+        F.lit(str(at("2020-01-01"))).cast("timestamp_ntz").alias("enrolled_at"),
+        F.lit("active").alias("status"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        assert "BroadcastHashJoin" not in plan(resolve_parents(children, ENROLLMENTS, parents))
+        assert plan(resolve_parents(children, ENROLLMENTS, few)).count("BroadcastHashJoin") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_few_ended_versions_are_sent_to_all_tasks(spark, store, tmp_path):
+    """A million keys take some 70 MB of the driver's memory in each read of a table."""
+    users = versions(spark, USERS, 10, user_sk=F.col("id"), user_id=F.col("id"), end_date=F.col("open"))
+    path = str(tmp_path / "users")
+    users.write.parquet(path)
+
+    def hinted(ended):
+        entry = {"current": [path], "ended": [path], "closed": [path], "ended_rows": ended}
+        df = store.current("users", {"tables": {"users": entry}})
+        return "broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert hinted(100_000) and not hinted(500_000)
+
+
 def test_hot_referral_key_is_split(spark, tiny_skew):
     """Many open versions of one key: the left join from the versions splits."""
     key = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))
