@@ -635,8 +635,10 @@ def dq_declared_rules(env: Lab) -> DataFrame:
     store = env.merged.finished()
     history = {t: store.history(t) for t in HISTORY}
     stars = {t: store.star(t) for t in STAR}
-    parts = [quality.check_table(df, HISTORY[t], history) for t, df in history.items()]
-    parts += [quality.check_table(df, STAR[t], stars) for t, df in stars.items()]
+    # A table's counts are written before the next table begins: in one plan, all its stages and broadcasts would
+    # be in the driver at once.
+    parts = [stage(quality.check_table(df, HISTORY[t], history), f"rules-{t}") for t, df in history.items()]
+    parts += [stage(quality.check_table(df, STAR[t], stars), f"rules-{t}") for t, df in stars.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -257,6 +257,16 @@ def test_hot_key_in_an_extract_is_split(spark, tiny_skew):
     assert states == {"closed": n, "opened": n - n // 3}  # one successor per key
 
 
+def test_rules_are_checked_table_by_table(env):
+    """One plan of all tables would hold the broadcasts of all in the driver at once."""
+    from chronostar.catalog.queries import dq_declared_rules
+    from chronostar.schemas import HISTORY, STAR
+
+    found = dq_declared_rules(env)
+    assert "Join" not in plan(found) and "Aggregate" not in plan(found)
+    assert {r["table"] for r in found.select("table").distinct().collect()} == {*HISTORY, *STAR}
+
+
 def test_lists_of_deleted_users_stay_off_the_driver(env):
     from chronostar.catalog.queries import delete_users_list
 
